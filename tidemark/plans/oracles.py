@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from tidemark.plans.registry import sql
+
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    """One statement for each query that has one."""
+    return sql()
