@@ -6,6 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 
 #: Bytes of text handled at once by vectorised operators; a longer text is a piece of its own.
 PIECE_BYTES = 1 << 21
