@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -70,21 +70,56 @@ CHUNKS = "flow string, position long, timestamp timestamp, data binary"
 MESSAGES = "flow string, position long, observed_at timestamp, message binary, stranded_segments long, stranded_bytes long, dropped long"
 
 
-def _flow(df: DataFrame) -> DataFrame:
+def _flows(packets: DataFrame) -> DataFrame:
+    """Packets dealt by flow and in the order of each; a task follows many flows, one after another, a batch at a time."""
     flow = F.concat_ws("|", "src_ip", F.col("src_port").cast("string"), "dst_ip", F.col("dst_port").cast("string"))
-    return df.select(flow.alias("flow"), "arrival_seq", "sequence_number", "payload", "timestamp")
+    own = packets.select(flow.alias("flow"), "arrival_seq", "sequence_number", "payload", "timestamp")
+    return own.repartition("flow").sortWithinPartitions("flow", "arrival_seq")
+
+
+def _followed(batches: Iterator[pa.RecordBatch], step: Callable[[Flow, int, bytes, object], list[tuple]], end: Callable[[Flow], list[tuple]]) -> Iterator[tuple[str, list[tuple]]]:
+    """(flow, rows) of every flow in sorted batches: step for each packet, end after the last; rows of a batch come at once."""
+    name, state = None, Flow()
+    for batch in batches:
+        rows: list[tuple] = []
+        for flow, _, seq, data, at in zip(*[c.to_pylist() for c in batch.columns], strict=True):
+            if flow != name:
+                if name is not None:
+                    rows += end(state)
+                    yield name, rows
+                name, state, rows = flow, Flow(), []
+            rows += step(state, seq, data or b"", at)
+        if name is not None and rows:
+            yield name, rows
+    if name is not None:
+        yield name, end(state)
+
+
+def _batches(found: Iterator[tuple[str, list[tuple]]], schema: pa.Schema) -> Iterator[pa.RecordBatch]:
+    """Rows numbered within their flow, in batches of about a thousand."""
+    held: list[tuple] = []
+    last, at = None, 0
+    for flow, rows in found:
+        at = at if flow == last else 0
+        last = flow
+        for r in rows:
+            held.append((flow, at, *r))
+            at += 1
+        if len(held) >= 1000:
+            yield pa.RecordBatch.from_arrays([pa.array([h[k] for h in held], f.type) for k, f in enumerate(schema)], schema=schema)
+            held = []
+    if held:
+        yield pa.RecordBatch.from_arrays([pa.array([h[k] for h in held], f.type) for k, f in enumerate(schema)], schema=schema)
 
 
 def reassemble(packets: DataFrame) -> DataFrame:
-    """(flow, position, timestamp, data): bytes of every flow in order. One flow is one task's, as its order is."""
+    """(flow, position, timestamp, data): bytes of every flow in order."""
+    schema = pa.schema([("flow", pa.string()), ("position", pa.int64()), ("timestamp", pa.timestamp("us", "UTC")), ("data", pa.binary())])
 
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        state, out = Flow(), []
-        for r in pdf.sort_values("arrival_seq").itertuples():
-            out += state.packet(int(r.sequence_number), bytes(r.payload or b""), r.timestamp)
-        return pd.DataFrame([(pdf["flow"].iloc[0], k, t, d) for k, (t, d) in enumerate(out)], columns=["flow", "position", "timestamp", "data"])
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return _batches(_followed(batches, lambda s, seq, data, at: list(s.packet(seq, data, at)), lambda s: []), schema)
 
-    return _flow(packets).groupBy("flow").applyInPandas(run, CHUNKS)
+    return _flows(packets).mapInArrow(run, CHUNKS)
 
 
 def messages(packets: DataFrame) -> DataFrame:
@@ -93,17 +128,17 @@ def messages(packets: DataFrame) -> DataFrame:
     A flow's last row has a null message and what was left at its end: segments and bytes that never became readable or
     complete, and retransmissions dropped.
     """
+    counts = [(n, pa.int64()) for n in ("stranded_segments", "stranded_bytes", "dropped")]
+    schema = pa.schema([("flow", pa.string()), ("position", pa.int64()), ("observed_at", pa.timestamp("us", "UTC")), ("message", pa.binary()), *counts])
 
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        state, out = Flow(), []
-        for r in pdf.sort_values("arrival_seq").itertuples():
-            for at, data in state.packet(int(r.sequence_number), bytes(r.payload or b""), r.timestamp):
-                out += state.frame(at, data)
-        flow = pdf["flow"].iloc[0]
-        rows = [(flow, k, t, m, None, None, None) for k, (t, m) in enumerate(out)]
+    def step(state: Flow, seq: int, data: bytes, at: object) -> list[tuple]:
+        return [(t, m, None, None, None) for when, chunk in state.packet(seq, data, at) for t, m in state.frame(when, chunk)]
+
+    def end(state: Flow) -> list[tuple]:
         left = sum(len(d) for _, d in state.waiting.values()) + len(state.buffer)
-        rows.append((flow, len(rows), None, None, len(state.waiting), left, state.dropped))
-        table = pd.DataFrame(rows, columns=[c.split()[0] for c in MESSAGES.split(", ")])
-        return table.astype({c: "Int64" for c in ("stranded_segments", "stranded_bytes", "dropped")})
+        return [(None, None, len(state.waiting), left, state.dropped)]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return _batches(_followed(batches, step, end), schema)
 
-    return _flow(packets).groupBy("flow").applyInPandas(run, MESSAGES)
+    return _flows(packets).mapInArrow(run, MESSAGES)

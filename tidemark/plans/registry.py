@@ -71,7 +71,7 @@ jj AS (SELECT w.{key} AS jk, w.we AS jwe, min(c.seq) AS j FROM (SELECT DISTINCT
 r AS (SELECT x.*, greatest(j, min(seq) OVER (PARTITION BY {key}, ws)) AS cl, lead(seq) OVER (PARTITION BY {key}, ws ORDER BY seq) AS nx,
     count(*) OVER p AS n, round(sum(value) OVER p, 6) AS s, round(avg(value) OVER p, 6) AS m, count(DISTINCT device) OVER (PARTITION BY {key}, ws ORDER BY seq) AS d
     FROM x JOIN jj ON jk = {key} AND jwe = we WINDOW p AS (PARTITION BY {key}, ws ORDER BY seq)),
-ch AS (SELECT {key} AS k, ws, we, n, s, m, d, id AS trace, seq > cl AS rep, greatest(seq, cl) AS at FROM r WHERE seq > cl OR nx IS NULL OR nx > cl)"""
+ch AS (SELECT {key} AS k, ws, we, n, s, m, d, id AS trace, seq > cl AS rep, greatest(seq, cl) AS arr FROM r WHERE seq > cl OR nx IS NULL OR nx > cl)"""
     )
 
 
@@ -172,7 +172,7 @@ def _wide_rows(df: DataFrame) -> DataFrame:
 
 
 def _wide_sql(size: int, slide: int) -> str:
-    return f"WITH {_changes(size, slide)} SELECT k AS partition_key, ws AS window_start, we AS window_end, n, s, m, d, n AS event_count, rep AS is_repair, trace AS last_contributing_trace_id, at AS arrival_seq FROM ch"
+    return f"WITH {_changes(size, slide)} SELECT k AS partition_key, ws AS window_start, we AS window_end, n, s, m, d, n AS event_count, rep AS is_repair, trace AS last_contributing_trace_id, arr AS arrival_seq FROM ch"
 
 
 @query(_wide_sql(3600, 3600))
@@ -203,13 +203,13 @@ for _kind, _geometry in (("tumbling", TUMBLING), ("sliding", SLIDING)):
         _one(_kind, _geometry, _a, _c)
 
 
-@query(f"WITH {_changes(3600, 3600)} SELECT k AS partition_key, ws AS window_start, n, at AS arrival_seq FROM ch WHERE rep")
+@query(f"WITH {_changes(3600, 3600)} SELECT k AS partition_key, ws AS window_start, n, arr AS arrival_seq FROM ch WHERE rep")
 def window_repairs(spark, d):
     wide = windows.changelog(_classified(spark, d), TUMBLING, [windows.count("n")], LATE)
     return wide.where("is_repair").select("partition_key", ntz("window_start").alias("window_start"), "n", "arrival_seq")
 
 
-@query(f"WITH {_changes(3600, 3600)}, y AS (SELECT ch.*, (SELECT max(value) FROM x WHERE x.k = ch.k AND x.ws = ch.ws AND x.seq <= ch.at) AS top FROM ch) SELECT k AS partition_key, ws AS window_start, round(top, 6) AS top, rep AS is_repair, at AS arrival_seq FROM y")
+@query(f"WITH {_changes(3600, 3600)}, y AS (SELECT ch.*, (SELECT max(value) FROM x WHERE x.k = ch.k AND x.ws = ch.ws AND x.seq <= ch.arr) AS top FROM ch) SELECT k AS partition_key, ws AS window_start, round(top, 6) AS top, rep AS is_repair, arr AS arrival_seq FROM y")
 def window_fold(spark, d):
     """An aggregation of the user's own: the greatest contribution, folded in arrival order."""
     top = windows.fold("top", "value", F.lit(None).cast("double"), lambda acc, x: F.greatest(acc, x), lambda acc: acc)
@@ -225,13 +225,13 @@ def window_open(spark, d):
 _FEATURE_ID = _uuid("'event.feature|' || k || '|' || " + _plain("ws") + " || '|' || " + _plain("we") + " || '|v1'")
 
 
-@query(f"""WITH {_changes(3600, 3600)} SELECT {_FEATURE_ID} AS event_id, k AS partition_key, ws AS window_start, we AS window_end, '{{"d":' || CAST(d AS VARCHAR) || ',"n":' || CAST(n AS VARCHAR) || '}}' AS feature_values, 'v1' AS feature_version, trace AS trace_id, at AS arrival_seq FROM ch""")
+@query(f"""WITH {_changes(3600, 3600)} SELECT {_FEATURE_ID} AS event_id, k AS partition_key, ws AS window_start, we AS window_end, '{{"d":' || CAST(d AS VARCHAR) || ',"n":' || CAST(n AS VARCHAR) || '}}' AS feature_values, 'v1' AS feature_version, trace AS trace_id, arr AS arrival_seq FROM ch""")
 def feature_bundle(spark, d):
     wide = windows.changelog(_classified(spark, d), TUMBLING, [windows.count("n"), windows.distinct("device_id", "d")], LATE)
     return windows.feature_vectors(wide, ["n", "d"]).select("event_id", "partition_key", ntz("window_start").alias("window_start"), ntz("window_end").alias("window_end"), "feature_values", "feature_version", "trace_id", "arrival_seq")
 
 
-@query(f"""WITH {_changes(3600, 3600)} SELECT {_FEATURE_ID} AS event_id, k AS partition_key, ws AS window_start, '{{"d":' || CAST(CAST(d AS DOUBLE) AS VARCHAR) || ',"n":' || CAST(CAST(n AS DOUBLE) AS VARCHAR) || '}}' AS feature_values, at AS arrival_seq FROM ch""")
+@query(f"""WITH {_changes(3600, 3600)} SELECT {_FEATURE_ID} AS event_id, k AS partition_key, ws AS window_start, '{{"d":' || CAST(CAST(d AS DOUBLE) AS VARCHAR) || ',"n":' || CAST(CAST(n AS DOUBLE) AS VARCHAR) || '}}' AS feature_values, arr AS arrival_seq FROM ch""")
 def feature_bundle_long(spark, d):
     """Vectors bundled from separate emissions."""
     wide = windows.changelog(_classified(spark, d), TUMBLING, [windows.count("n"), windows.distinct("device_id", "d")], LATE)
@@ -454,10 +454,10 @@ def _counts(spark: SparkSession, d: str) -> DataFrame:
 
 def _anomaly_sql(limit: int, word: str, sign: str) -> str:
     coords = "k || '|events|' || " + _plain("ws") + " || '|' || " + _plain("we")
-    return f"""WITH {_changes(3600, 3600)}, f AS (SELECT *, n {sign} {limit} AS o FROM ch), t AS (SELECT *, lag(o, 1, FALSE) OVER (PARTITION BY k ORDER BY at, ws, rep) AS was FROM f), a AS (SELECT *, {_uuid("'detection.signal_anomaly|' || " + coords)} AS did FROM t WHERE o AND NOT was)
+    return f"""WITH {_changes(3600, 3600)}, f AS (SELECT *, n {sign} {limit} AS o FROM ch), t AS (SELECT *, lag(o, 1, FALSE) OVER (PARTITION BY k ORDER BY arr, ws, rep) AS was FROM f), a AS (SELECT *, {_uuid("'detection.signal_anomaly|' || " + coords)} AS did FROM t WHERE o AND NOT was)
     SELECT {_uuid("'event.detection|' || did")} AS event_id, did AS detection_id, 'signal.anomaly' AS detection_type, 'WARNING' AS severity, we AS detected_at, k AS store_id, {_uuid("'source.signal_anomaly|' || " + coords)} AS source_event_id,
     'events ' || CAST(n AS VARCHAR) || ' {word} threshold {limit}' AS threshold_breached,
-    '{{"comparison":"{word}","signal_name":"events","threshold":{limit},"value":' || CAST(n AS VARCHAR) || ',"window_end":"' || {_iso('we')} || '","window_start":"' || {_iso('ws')} || '"}}' AS details, trace AS trace_id, at AS arrival_seq FROM a"""
+    '{{"comparison":"{word}","signal_name":"events","threshold":{limit},"value":' || CAST(n AS VARCHAR) || ',"window_end":"' || {_iso('we')} || '","window_start":"' || {_iso('ws')} || '"}}' AS details, trace AS trace_id, arr AS arrival_seq FROM a"""
 
 
 _SHOWN = ["event_id", "detection_id", "detection_type", "severity", "store_id", "source_event_id", "threshold_breached", "details", "trace_id", "arrival_seq"]
@@ -484,10 +484,10 @@ _OUTAGE_CTE = (
     _changes(3600, 3600, base=_by_store())
     + f""", g AS (SELECT device, seq, 'store-' || CAST((CAST(device AS BIGINT) + CAST(id AS BIGINT) // 2000) % 10 AS VARCHAR) AS store FROM e WHERE CAST(id AS BIGINT) % 5 = 0),
     mv AS (SELECT *, lag(store) OVER (PARTITION BY device ORDER BY seq) AS was FROM g), dl AS (SELECT store, seq, 1 AS c FROM mv WHERE was IS NULL OR was <> store UNION ALL SELECT was, seq, -1 FROM mv WHERE was IS NOT NULL AND was <> store),
-    u AS (SELECT k, at, 1 AS kind, 0 AS c, ws, we, d, rep, trace FROM ch UNION ALL SELECT store, seq, 0, c, NULL, NULL, NULL, NULL, NULL FROM dl),
-    cn AS (SELECT *, CAST(sum(c) OVER (PARTITION BY k ORDER BY at, kind RANGE UNBOUNDED PRECEDING) AS BIGINT) AS reg FROM u),
+    u AS (SELECT k, arr, 1 AS kind, 0 AS c, ws, we, d, rep, trace FROM ch UNION ALL SELECT store, seq, 0, c, NULL, NULL, NULL, NULL, NULL FROM dl),
+    cn AS (SELECT *, CAST(sum(c) OVER (PARTITION BY k ORDER BY arr, kind RANGE UNBOUNDED PRECEDING) AS BIGINT) AS reg FROM u),
     ra AS (SELECT *, greatest(0, reg - d) AS off, greatest(0, reg - d) / reg AS ratio FROM cn WHERE kind = 1 AND reg > 0),
-    tr AS (SELECT *, ratio > 0.9 AS o, lag(ratio > 0.9, 1, FALSE) OVER (PARTITION BY k ORDER BY at, ws, rep) AS was FROM ra), oo AS (SELECT * FROM tr WHERE o <> was)"""
+    tr AS (SELECT *, ratio > 0.9 AS o, lag(ratio > 0.9, 1, FALSE) OVER (PARTITION BY k ORDER BY arr, ws, rep) AS was FROM ra), oo AS (SELECT * FROM tr WHERE o <> was)"""
 )
 _OUT_COORDS = "k || '|' || " + _plain("ws") + " || '|' || " + _plain("we")
 
@@ -497,7 +497,7 @@ _OUT_COORDS = "k || '|' || " + _plain("ws") + " || '|' || " + _plain("we")
     SELECT did AS detection_id, CASE WHEN o THEN 'store.outage' ELSE 'store.recovered' END AS detection_type, CASE WHEN o THEN 'CRITICAL' ELSE 'INFO' END AS severity, k AS store_id,
     CASE WHEN o THEN CAST(off AS VARCHAR) || ' of ' || CAST(reg AS VARCHAR) || ' devices not reporting (' || CAST(CAST(round_even(ratio * 100, 0) AS BIGINT) AS VARCHAR) || '% offline, threshold 90%)'
     ELSE CAST(reg - off AS VARCHAR) || ' of ' || CAST(reg AS VARCHAR) || ' devices reporting (' || CAST(CAST(round_even(ratio * 100, 0) AS BIGINT) AS VARCHAR) || '% offline, below threshold 90%)' END AS threshold_breached,
-    we AS detected_at, at AS arrival_seq FROM i"""
+    we AS detected_at, arr AS arrival_seq FROM i"""
 )
 def outage_transitions(spark, d):
     return _outages(spark, d).select("detection_id", "detection_type", "severity", "store_id", "threshold_breached", ntz("detected_at").alias("detected_at"), "arrival_seq")
@@ -519,10 +519,10 @@ _OFFLINE_CTE = f"""v AS (SELECT 'shard-' || CAST(user_id % 4 AS VARCHAR) AS sh,
     n AS (SELECT *, lead(seq) OVER (PARTITION BY dev ORDER BY seq) AS nx FROM v),
     f AS (SELECT n.dev, n.store, n.seq, n.ts, n.nx, n.sh, min(v.seq) AS hit FROM n ASOF JOIN (SELECT sh, ts, min(seq) AS seq FROM v GROUP BY 1, 2) v ON v.sh = n.sh AND n.ts + INTERVAL {SILENCE} SECOND < v.ts GROUP BY 1, 2, 3, 4, 5, 6),
     z AS (SELECT f.*, v.ts AS hts FROM f JOIN v ON v.seq = f.hit WHERE nx IS NULL OR hit < nx),
-    dt AS (SELECT 'device.offline' AS kind, dev, store, hit AS at, hts AS dts, 'no events for ' || CAST((epoch_us(hts) - epoch_us(ts)) // 1000000 AS VARCHAR) || 's (threshold {SILENCE}s)' AS txt FROM z
+    dt AS (SELECT 'device.offline' AS kind, dev, store, hit AS arr, hts AS dts, 'no events for ' || CAST((epoch_us(hts) - epoch_us(ts)) // 1000000 AS VARCHAR) || 's (threshold {SILENCE}s)' AS txt FROM z
         UNION ALL SELECT 'device.online', z.dev, z.store, z.nx, v.ts, 'device reporting again after silence' FROM z JOIN v ON v.seq = z.nx)"""
-_OFFLINE_ID = _uuid("CASE WHEN kind = 'device.offline' THEN 'detection.device_offline|' ELSE 'detection.device_online|' END || store || '|' || dev || '|' || CAST(at AS VARCHAR)")
-_OFFLINE_SQL = f"WITH {_OFFLINE_CTE} SELECT {_OFFLINE_ID} AS detection_id, kind AS detection_type, dev AS device_id, store AS store_id, txt AS threshold_breached, dts AS detected_at, at AS arrival_seq FROM dt"
+_OFFLINE_ID = _uuid("CASE WHEN kind = 'device.offline' THEN 'detection.device_offline|' ELSE 'detection.device_online|' END || store || '|' || dev || '|' || CAST(arr AS VARCHAR)")
+_OFFLINE_SQL = f"WITH {_OFFLINE_CTE} SELECT {_OFFLINE_ID} AS detection_id, kind AS detection_type, dev AS device_id, store AS store_id, txt AS threshold_breached, dts AS detected_at, arr AS arrival_seq FROM dt"
 
 
 def _offline_rows(df: DataFrame) -> DataFrame:
@@ -555,7 +555,7 @@ def _alerts(spark: SparkSession, d: str) -> DataFrame:
     return alerts.route(found, acks)
 
 
-_ALERT_CTE = f"{_OFFLINE_CTE}, di AS (SELECT *, {_OFFLINE_ID} AS did FROM dt), al AS (SELECT *, {_uuid(chr(39) + 'alert|' + chr(39) + ' || did')} AS aid, at % 3 = 0 AND at % 2 = 0 AS ack, CASE WHEN kind = 'device.offline' THEN 'WARNING' ELSE 'INFO' END AS sev FROM di)"
+_ALERT_CTE = f"{_OFFLINE_CTE}, di AS (SELECT *, {_OFFLINE_ID} AS did FROM dt), al AS (SELECT *, {_uuid(chr(39) + 'alert|' + chr(39) + ' || did')} AS aid, arr % 3 = 0 AND arr % 2 = 0 AS ack, CASE WHEN kind = 'device.offline' THEN 'WARNING' ELSE 'INFO' END AS sev FROM di)"
 
 
 @query(f"""WITH {_ALERT_CTE} SELECT {_uuid("'event.alert|' || aid")} AS event_id, aid AS alert_id, did AS detection_id, kind AS detection_type, sev AS severity, dts AS routed_at, store AS store_id, dev AS device_id, txt AS summary, '{{"acknowledged":' || CASE WHEN ack THEN 'true' ELSE 'false' END || ',"detected_at":"' || {_iso('dts')} || '"}}' AS details FROM al""")
@@ -578,12 +578,12 @@ def alert_detail_type(spark, d):
     return alerts.bus_entries(_alerts(spark, d), "bus-1").groupBy("detail_type").agg(F.count("*").alias("entries"))
 
 
-@query(f"WITH {_OFFLINE_CTE}, l AS (SELECT store, dev, arg_max(kind, at * 2 + CASE WHEN kind = 'device.offline' THEN 1 ELSE 0 END) AS last FROM dt GROUP BY 1, 2) SELECT store AS store_id, count(*) AS offline_count, string_agg(dev, ',' ORDER BY dev) AS device_ids FROM l WHERE last = 'device.offline' GROUP BY store")
+@query(f"WITH {_OFFLINE_CTE}, l AS (SELECT store, dev, arg_max(kind, arr * 2 + CASE WHEN kind = 'device.offline' THEN 1 ELSE 0 END) AS last FROM dt GROUP BY 1, 2) SELECT store AS store_id, count(*) AS offline_count, string_agg(dev, ',' ORDER BY dev) AS device_ids FROM l WHERE last = 'device.offline' GROUP BY store")
 def view_offline_count(spark, d):
     return views.offline_devices(_detections(spark, d)).select("store_id", F.col("offline_count").cast("long").alias("offline_count"), F.array_join("device_ids", ",").alias("device_ids"))
 
 
-@query(f"WITH {_OUTAGE_CTE}, l AS (SELECT k, arg_max(o, at) AS o, arg_max(we, at) AS we FROM oo GROUP BY k) SELECT k AS store_id, {_iso('we')} AS since FROM l WHERE o")
+@query(f"WITH {_OUTAGE_CTE}, l AS (SELECT k, arg_max(o, arr) AS o, arg_max(we, arr) AS we FROM oo GROUP BY k) SELECT k AS store_id, {_iso('we')} AS since FROM l WHERE o")
 def view_active_outage(spark, d):
     return views.active_outages(_outages(spark, d))
 
