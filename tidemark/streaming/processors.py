@@ -91,7 +91,7 @@ def window_changelog(events: DataFrame, fold: Fold, size: int, slide: int, laten
         own = KeyWindows(fold, size, slide, lateness, json.loads(state.get[0]) if state.exists else None)
         rows = []
         for r in pd.concat(list(batches)).sort_values("arrival_seq").itertuples():
-            us = int(pd.Timestamp(r.event_timestamp).as_unit("us").value)
+            us = int(pd.Timestamp(r.event_timestamp).as_unit("ns").value) // 1000
             for a, b, value, n, repair, trace in own.event(us, getattr(r, contribution) if contribution else None, r.trace_id):
                 rows.append((key[0], fold.name, pd.Timestamp(a, unit="us"), pd.Timestamp(b, unit="us"), value, n, repair, trace, r.arrival_seq))
         state.update((json.dumps(own.state()),))
@@ -119,7 +119,7 @@ def offline_stream(events: DataFrame, threshold: int) -> DataFrame:
                 continue
             if r.store_id is not None:
                 own.register(r.device_id, r.store_id)
-            us = int(pd.Timestamp(r.event_timestamp).as_unit("us").value)
+            us = int(pd.Timestamp(r.event_timestamp).as_unit("ns").value) // 1000
             for kind, device, silent in own.see(int(r.arrival_seq), us, r.device_id):
                 rows.append((key[0], kind, device, own.store[device], r.event_id, pd.Timestamp(us, unit="us"), silent, r.arrival_seq))
         state.update((json.dumps({"last": own.last, "offline": sorted(own.offline), "store": own.store, "first": own.first}),))
