@@ -62,6 +62,8 @@ def test_changelog_is_the_simulation(spark, size, slide, late):
     classed = watermark.with_watermark(events(spark, rows), late)
     wide = windows.changelog(classed, windows.Geometry(size, slide), [windows.total("value")], late)
     assert changed(wide) == simulate(rows, size, slide, late)
+    spread = windows.changelog(classed, windows.Geometry(size, slide), [windows.total("value")], late, stretch=7)
+    assert changed(spread) == simulate(rows, size, slide, late)
 
 
 def test_classes_at_their_boundaries(spark):

@@ -84,6 +84,7 @@ def changelog(
     seq: str = "arrival_seq",
     trace: str | None = "trace_id",
     given: bool = False,
+    stretch: int | None = None,
 ) -> DataFrame:
     """(key, window_start, window_end, one column for each aggregation, event_count, is_repair,
     last_contributing_trace_id, arrival_seq): a row for each closure and repair, arrival_seq the arrival that caused it.
@@ -91,6 +92,10 @@ def changelog(
     events carry classification. With given, they also carry watermarks of the caller's own, and only tolerated
     contributions repair. Everything is dealt by the key once: the closing arrival, the running values and the
     choice of rows share that exchange.
+
+    stretch, if given, is for keys that hold a large part of the events: the closing arrival is then found within
+    stretches of that many seconds, each starting from the least arrival of the stretches after it, and values run by
+    key and window, so that one key is spread over many tasks. The result is the same.
     """
     names = [a.name for a in aggregations]
     if len(set(names)) < len(names):
@@ -101,8 +106,17 @@ def changelog(
     rows = inside.select(F.col(key).alias("__key"), (F.col("__w.end") + seconds(0 if given else lateness)).alias("__t"), F.lit(True).alias("__probe"), F.struct("*").alias("__row"))
     both = rows.unionByName(ticks.drop("__none"), allowMissingColumns=True)
     # ticks at or after a probe's time come first
-    later = Window.partitionBy("__key").orderBy(F.desc("__t"), F.asc("__probe")).rowsBetween(Window.unboundedPreceding, 0)
-    probed = both.withColumn("__j", F.min("__tick").over(later)).where("__probe and __j is not null")
+    order = [F.desc("__t"), F.asc("__probe")]
+    if stretch:
+        both = both.withColumn("__b", F.floor(F.unix_micros("__t") / (stretch * 1_000_000)))
+        beyond = Window.partitionBy("__key").orderBy(F.desc("__b")).rowsBetween(Window.unboundedPreceding, -1)
+        least = both.groupBy("__key", "__b").agg(F.min("__tick").alias("__m")).select("__key", "__b", F.min("__m").over(beyond).alias("__after"))
+        later = Window.partitionBy("__key", "__b").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+        both = both.join(least, ["__key", "__b"]).repartition("__key", "__b")
+        probed = both.withColumn("__j", F.least("__after", F.min("__tick").over(later))).where("__probe and __j is not null").repartition("__key", "__row.__w.start")
+    else:
+        later = Window.partitionBy("__key").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+        probed = both.withColumn("__j", F.min("__tick").over(later)).where("__probe and __j is not null")
     flat = probed.select("__key", "__j", F.col("__row.__w.start").alias("window_start"), F.col("__row.__w.end").alias("window_end"), "__row.*").drop("__w")
     cell = Window.partitionBy("__key", "window_start").orderBy(seq)
     upto = cell.rowsBetween(Window.unboundedPreceding, 0)

@@ -180,6 +180,13 @@ def window_changelog(spark, d):
     return _wide_rows(_wide(spark, d, TUMBLING))
 
 
+@query(_wide_sql(3600, 3600))
+def window_changelog_stretched(spark, d):
+    """The same result with every key spread over tasks."""
+    classed = watermark.with_watermark(jittered(spark, d), LATE, span=86_400 * 100_000_000)
+    return _wide_rows(windows.changelog(classed, TUMBLING, _aggregations(), LATE, stretch=86_400))
+
+
 @query(_wide_sql(7200, 3600))
 def window_changelog_sliding(spark, d):
     return _wide_rows(_wide(spark, d, SLIDING))
