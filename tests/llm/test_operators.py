@@ -206,7 +206,7 @@ def test_shards(spark, n):
     want = sorted((len((t or "").encode()) + 16) for _, t, _, _ in rows)
     assert sorted(r.size for r in got) == want
     # the order is that of fractional ranks in the seeded order
-    key = lambda r: (hashlib.md5(f"1:{'' if r.doc_id is None else r.doc_id}".encode()).hexdigest(), r.doc_id, r.size, r.text_crc32)
+    key = lambda r: (hashlib.md5(f"1:{"" if r.doc_id is None else r.doc_id}".encode()).hexdigest(), r.doc_id, r.size, r.text_crc32, r.position)
     place = {}
     for source in {r.source for r in got}:
         own = sorted((r for r in got if r.source == source), key=key)
