@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 
 #: Rows that a cell holds on average; a coarse cell is CELL cells.
 CELL = 2048
+#: Strata are broadcast up to this count, and joined by shuffle beyond it.
+BROADCAST_ROWS = 10_000
 
 
 def _unit(key: Column) -> Column:
@@ -28,8 +30,12 @@ def numbered(rows: DataFrame, by: str | None, unit: str, order: list[str], name:
     """
     keys = [by] if by else []
     cells = F.ceil(F.col("total") / float(CELL))
-    joined = (rows.join(totals, by) if by else rows.withColumn("total", F.lit(totals).cast("long"))).withColumn("__cell", F.floor(F.col(unit) * cells))
-    joined = joined.withColumn("__coarse", F.floor(F.col("__cell") / CELL))
+    if by:
+        small = totals.count() <= BROADCAST_ROWS
+        joined = rows.join(F.broadcast(totals) if small else totals, by)
+    else:
+        joined = rows.withColumn("total", F.lit(totals).cast("long"))
+    joined = joined.withColumn("__cell", F.floor(F.col(unit) * cells)).withColumn("__coarse", F.floor(F.col("__cell") / CELL))
     counts = joined.groupBy(*keys, "__coarse", "__cell").agg(F.count("*").alias("__n"))
     coarse = counts.groupBy(*keys, "__coarse").agg(F.sum("__n").alias("__m"))
     before = Window.partitionBy(*keys).orderBy("__coarse").rowsBetween(Window.unboundedPreceding, -1)
@@ -41,8 +47,10 @@ def numbered(rows: DataFrame, by: str | None, unit: str, order: list[str], name:
         .select(*keys, "__cell", (F.col("__base") + F.col("__in")).alias("__start"))
     )
     place = F.row_number().over(Window.partitionBy(*keys, "__cell").orderBy(*order))
+    # dealt by cell, or the windows would take over a join's dealing by source alone
     return (
-        joined.withColumn("__place", place)
+        joined.repartition(*keys, "__cell")
+        .withColumn("__place", place)
         .join(starts, [*keys, "__cell"])
         .withColumn(name, F.col("__start") + F.col("__place"))
         .drop("__cell", "__coarse", "__place", "__start")
