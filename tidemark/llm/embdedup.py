@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import components, written
+from tidemark.llm.common import arrow_rows, components, written
 from tidemark.llm.topk import usable
 
 #: Leading principal dimensions kept, and those whose cells pair intervals.
@@ -176,7 +176,8 @@ def near_vectors(vectors: DataFrame, least: float = 0.95, *, id_col: str = "vec_
         found = part if found is None else found.unionByName(part)
     if found is None:
         found = spark.createDataFrame([], "id long, links long, to long")
-    found = written(found)
+    with arrow_rows(spark, 8):  # a row holds two intervals
+        found = written(found)
     labels = components(found.where("id != to").select(F.col("id").alias("a"), F.col("to").alias("b")))
     links = found.groupBy("id").agg(F.sum("links").alias("links"))
     named = written(

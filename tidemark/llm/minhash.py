@@ -5,20 +5,22 @@ pair (i, j), one key from each collection, so HALVES ** 2 tables cost only 2 * H
 values. Sets meet in a table when both keys agree; what meets is verified on the full sets.
 
 A set pair of similarity s agrees in one key with probability s ** WIDTH, and is found with probability
-(1 - (1 - s ** WIDTH) ** HALVES) ** 2: 0.9991 at 0.75, more above.
+(1 - (1 - s ** WIDTH) ** HALVES) ** 2: 0.9991 at 0.75, more above. Before it is verified, a pair's values are
+compared by a byte each, and it goes if more differ than in any but one of 20,000 pairs of similarity 0.75.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.llm.common import components, written
+from tidemark.llm.common import components, merged, written
 from tidemark.llm.textbuf import flat, pieces
 
 WORDS = 5
@@ -93,24 +95,55 @@ def shingle_sets(texts: pa.Array, words: int = WORDS) -> Iterator[np.ndarray]:
                     yield np.empty(0, np.uint64)
 
 
+@lru_cache(8)
 def _family(count: int, seed: int) -> tuple[np.ndarray, np.ndarray]:
     state = np.random.default_rng(seed)
     odd = state.integers(0, 1 << 63, count, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
     return odd, state.integers(0, 1 << 63, count, dtype=np.uint64)
 
 
-def half_keys(hashes: np.ndarray, halves: int, width: int, seed: int) -> np.ndarray:
-    """2 * halves keys of a set: the first half of them for the first collection."""
+def values(hashes: np.ndarray, halves: int, width: int, seed: int) -> np.ndarray:
+    """The 2 * halves * width MinHash values of a set."""
     odd, add = _family(2 * halves * width, seed)
     low = np.full(len(odd), np.iinfo(np.uint64).max, np.uint64)
     with np.errstate(over="ignore"):
-        for k in range(0, len(hashes), 4096):
-            part = hashes[k : k + 4096, None] * odd[None, :]
+        # the hashes are mixed already, so a multiplication and an addition make a family of orders
+        room = np.empty((min(len(hashes), 512), len(odd)), np.uint64)
+        for k in range(0, len(hashes), 512):
+            own = hashes[k : k + 512, None]
+            part = np.multiply(own, odd, out=room[: len(own)])
             part += add
-            part ^= part >> np.uint64(31)
-            low = np.minimum(low, part.min(axis=0))
+            np.minimum(low, np.minimum.reduce(part, axis=0), out=low)
+        return mixed(low)
+
+
+def half_keys(low: np.ndarray, width: int) -> np.ndarray:
+    """Keys of width values each, of any number of sets at once: the first half of a set's keys for the first collection."""
+    with np.errstate(over="ignore"):
         weights = _powers(width - 1, np.uint64(0xE7037ED1A0B428DB))
-        return mixed((mixed(low).reshape(2 * halves, width) * weights).sum(axis=1, dtype=np.uint64))
+        return mixed((low.reshape(len(low), -1, width) * weights).sum(axis=2, dtype=np.uint64))
+
+
+def sketches(low: np.ndarray) -> np.ndarray:
+    """The last byte of every value, seven to a 64-bit number; places without a value are 0."""
+    lanes = np.zeros((len(low), -(-low.shape[1] // 7), 7), np.uint64)
+    lanes.reshape(len(low), -1)[:, : low.shape[1]] = low & np.uint64(0xFF)
+    return (lanes << (np.arange(7, dtype=np.uint64) * np.uint64(8))).sum(axis=2, dtype=np.uint64)
+
+
+def unlike(a: str, b: str, count: int) -> Column:
+    """In how many bytes the sketches a and b, columns of count numbers, differ."""
+    low, top = 0x7F7F7F7F7F7F7F, 0x80808080808080
+    total = F.lit(0)
+    for k in range(count):
+        x = F.col(a)[k].bitwiseXOR(F.col(b)[k])
+        total = total + F.bit_count((x.bitwiseAND(F.lit(low)) + F.lit(low)).bitwiseOR(x).bitwiseAND(F.lit(top)))
+    return total
+
+
+def most_unlike(values: int, share: float) -> int:
+    """Differing values allowed to a pair of similarity `share`: the mean and four standard deviations."""
+    return int(values * (1 - share) + 4 * (values * share * (1 - share)) ** 0.5)
 
 
 _SIGNATURE = T.StructType(
@@ -121,26 +154,28 @@ _SIGNATURE = T.StructType(
         T.StructField("s2", T.LongType()),
         T.StructField("one", T.ArrayType(T.LongType())),
         T.StructField("two", T.ArrayType(T.LongType())),
+        T.StructField("sketch", T.ArrayType(T.LongType())),
     ]
 )
 
 
 def signatures(docs: DataFrame, words: int, halves: int, width: int, seed: int) -> DataFrame:
-    """(doc_id, n, s1, s2, one, two): set size, a 128-bit digest of the set, the keys of both collections."""
+    """(doc_id, n, s1, s2, one, two, sketch): set size, a 128-bit digest of the set, the keys of both collections, a sketch."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            n, s1, s2, keys = [], [], [], []
+            n, s1, s2, lows = [], [], [], []
             for own in shingle_sets(batch.column(1), words):
                 n.append(len(own))
                 with np.errstate(over="ignore"):
                     s1.append(own.sum(dtype=np.uint64))
                     s2.append(mixed(own * _STEP).sum(dtype=np.uint64))
-                keys.append(half_keys(own, halves, width, seed) if len(own) else np.zeros(2 * halves, np.uint64))
-            table = np.array(keys, np.uint64).view(np.int64).reshape(-1, 2 * halves)
+                lows.append(values(own, halves, width, seed))
+            low = np.array(lows, np.uint64).reshape(-1, 2 * halves * width)
+            keys = half_keys(low, width)
             lists = [
-                pa.ListArray.from_arrays(np.arange(0, len(n) * halves + 1, halves, dtype=np.int32), np.ascontiguousarray(part).ravel())
-                for part in (table[:, :halves], table[:, halves:])
+                pa.ListArray.from_arrays(np.arange(0, part.size + 1, part.shape[1], dtype=np.int32), np.ascontiguousarray(part).view(np.int64).ravel())
+                for part in (keys[:, :halves], keys[:, halves:], sketches(low))
             ]
             digests = [pa.array(np.array(x, np.uint64).view(np.int64)) for x in (s1, s2)]
             yield pa.RecordBatch.from_arrays(
@@ -190,94 +225,112 @@ def near_duplicates(
 
     Large buckets: each round holds a bucket's classes against one of them, which takes as many pairs as
     classes; later rounds go on only with buckets that still span several components, each component
-    standing in one pair. After that, only pairs of different components within a bucket are verified.
-    No bucket is capped.
+    standing in one pair. After that, only pairs of different components within a bucket are compared, by
+    their sketches, and what remains is verified. No bucket is capped.
     """
     base = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     sig = written(signatures(base, words, halves, width, seed))
+    n_rows = sig.count()
     classes = written(
         sig.where("n > 0 and doc_id is not null")
         .groupBy("s1", "s2", "n")
-        .agg(F.min("doc_id").alias("rep"))
-    )
-    one = sig.select("doc_id", "n", "s1", "s2", "one", "two").join(
-        classes.select("rep", F.col("n").alias("cn"), F.col("s1").alias("c1"), F.col("s2").alias("c2")),
-        (F.col("doc_id") == F.col("rep")) & (F.col("s1") == F.col("c1")) & (F.col("s2") == F.col("c2")) & (F.col("n") == F.col("cn")),
-        "left_semi",
-    ).dropDuplicates(["doc_id"])
-    keyed = written(one.select("doc_id", "n", "one", "two"))
-
-    # keys of the first collection that several classes share; only these can meet in a table
-    first = keyed.select("doc_id", F.posexplode("one").alias("i", "k1"))
-    shared = written(
-        first.groupBy("i", "k1").agg(F.count("*").alias("c")).where("c > 1").select("i", "k1")
-    )
-    alive = written(
-        first.join(shared, ["i", "k1"]).select("doc_id", "i", "k1")
+        .agg(F.min("doc_id").alias("rep")),
+        n_rows,
     )
-    cells = (
-        alive.join(keyed.select("doc_id", "n", "two"), "doc_id")
-        .select("doc_id", "n", "i", "k1", F.posexplode("two").alias("j", "k2"))
-        .select("doc_id", "n", F.xxhash64("i", "j", "k1", "k2").alias("bucket"))
+    stands = classes.select("rep", F.col("n").alias("cn"), F.col("s1").alias("c1"), F.col("s2").alias("c2"))
+    of_class = (F.col("doc_id") == F.col("rep")) & (F.col("s1") == F.col("c1")) & (F.col("s2") == F.col("c2")) & (F.col("n") == F.col("cn"))
+    keyed = written(
+        sig.join(stands, of_class, "left_semi").dropDuplicates(["doc_id"]).select(F.col("doc_id").alias("id"), "n", "one", "two", "sketch"), n_rows
     )
-    cells = written(cells)
-    full = written(cells.groupBy("bucket").agg(F.count("*").alias("c")).where("c > 1").select("bucket"))
-    members = written(cells.join(full, "bucket").select("bucket", F.col("doc_id").alias("id"), "n"))
 
-    sets: DataFrame | None = None
-    links: DataFrame | None = None
-    tested: DataFrame | None = None
-    labels: DataFrame | None = None
+    # the first halves of table keys that several classes share; only these classes can meet in a table
+    first = keyed.select("id", "n", F.posexplode("one").alias("i", "k1")).select("id", "n", "i", F.xxhash64("i", "k1").alias("bucket"))
+    shared = written(first.groupBy("bucket").agg(F.count("*").alias("c")).where("c > 1").select("bucket"), halves * n_rows)
+    members = written(first.join(shared, "bucket").select("bucket", "i", "id", "n"), halves * n_rows)
+    n_members = members.count()
+
     low, high = F.least("a", "b"), F.greatest("a", "b")
     fits = F.expr(f"100 * least(na, nb) >= {int(percent)} * greatest(na, nb)")
+    lanes, allowed = -(-2 * halves * width // 7), most_unlike(2 * halves * width, percent / 100)
+    seen = keyed.select("id", "one", "two", "sketch")
+    # the second half of a table key that both classes have
+    meet = F.lit(False)
+    for k in range(halves):
+        meet = meet | (F.col("two_a")[k] == F.col("two_b")[k])
+    alike = meet & (unlike("sketch_a", "sketch_b", lanes) <= allowed)
+    # a pair counts in the first table it meets in
+    new = F.lit(True)
+    for k in range(halves):
+        new = new & ((F.col("i") <= k) | (F.col("one_a")[k] != F.col("one_b")[k]))
+    side = lambda x: [F.col(c).alias(f"{c}_{x}") for c in ("one", "two", "sketch")]
+
+    tested: DataFrame | None = None
+    labels: DataFrame | None = None
     for turn in range(rounds + 1):
-        if labels is None:
-            rows = members.withColumn("c", F.col("id"))
-        else:
-            rows = members.join(labels.withColumnRenamed("component", "c"), "id", "left").withColumn("c", F.coalesce("c", "id"))
-            open_ = written(rows.groupBy("bucket").agg(F.min("c").alias("x"), F.max("c").alias("y")).where("x < y").select("bucket"))
-            if open_.isEmpty():
+        rows = members.withColumn("c", F.col("id"))
+        last = turn == rounds
+        if labels is not None:
+            known = labels.select("id", F.col("component").alias("k"))
+            rows = written(members.join(known, "id", "left").select("bucket", "i", "id", "n", F.coalesce("k", "id").alias("c")), n_members)
+            # buckets that span several components, and how many pairs of different components they hold
+            sizes = rows.groupBy("bucket", "c").agg(F.count("*").alias("m")).groupBy("bucket").agg(F.count("*").alias("k"), F.sum("m").alias("m"), F.sum(F.col("m") * F.col("m")).alias("q"))
+            open_ = written(sizes.where("k > 1").select("bucket", ((F.col("m") * F.col("m") - F.col("q")) / 2).alias("p")), n_members)
+            left_over, most = open_.agg(F.sum("p"), F.count("*")).first()
+            if not most:
                 break
-            rows = written(rows).join(open_, "bucket")
-        if turn < rounds:
+            rows = rows.join(open_.select("bucket"), "bucket")
+            # comparing all that is left is right at any time; it comes early where it takes no more pairs than rounds do
+            last = last or left_over <= 4 * n_members
+        if not last:
             # one class of each component stands in the bucket, another one in each round
             order = F.struct(F.xxhash64("id", F.lit(turn)).alias("h"), "id", "n", "c")
-            stand = written(rows.groupBy("bucket", "c").agg(F.min(order).alias("s")).select("bucket", "s.*")) if turn else rows.select("bucket", F.xxhash64("id", F.lit(turn)).alias("h"), "id", "n", "c")
-            head = written(stand.groupBy("bucket").agg(F.min(F.struct("h", "id", "n", "c")).alias("t")).select("bucket", F.col("t.id").alias("a"), F.col("t.n").alias("na"), F.col("t.c").alias("ca")))
+            stand = written(rows.groupBy("bucket", "c").agg(F.min(order).alias("s")).select("bucket", "s.*"), n_members) if turn else rows.select("bucket", F.xxhash64("id", F.lit(turn)).alias("h"), "id", "n", "c")
+            head = written(stand.groupBy("bucket").agg(F.min(F.struct("h", "id", "n", "c")).alias("t")).select("bucket", F.col("t.id").alias("a"), F.col("t.n").alias("na"), F.col("t.c").alias("ca")), n_members)
             pairs = stand.select("bucket", F.col("id").alias("b"), F.col("n").alias("nb"), F.col("c").alias("cb")).join(head, "bucket").where("ca != cb")
         else:
-            rows = written(rows.select("bucket", "id", "n", "c"))
-            pairs = rows.select("bucket", F.col("id").alias("a"), F.col("n").alias("na"), F.col("c").alias("ca")).join(
-                rows.select("bucket", F.col("id").alias("b"), F.col("n").alias("nb"), F.col("c").alias("cb")), "bucket"
-            ).where("ca < cb")
+            rows = written(rows.select("bucket", "i", "id", "n", "c").join(seen, "id"))
+            pairs = (
+                rows.select("bucket", "i", F.col("id").alias("a"), F.col("n").alias("na"), F.col("c").alias("ca"), *side("a"))
+                .join(rows.select("bucket", F.col("id").alias("b"), F.col("n").alias("nb"), F.col("c").alias("cb"), *side("b")), "bucket")
+                .where("ca < cb").where(fits).where(new).where(alike)
+            )
         pairs = pairs.where(fits).select(low.alias("a"), high.alias("b"), F.when(F.col("a") < F.col("b"), F.col("na")).otherwise(F.col("nb")).alias("na"), F.when(F.col("a") < F.col("b"), F.col("nb")).otherwise(F.col("na")).alias("nb")).distinct()
         if tested is not None:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
-        pairs = written(pairs)
-        if pairs.isEmpty():
-            continue
-        if sets is None:
-            wanted = written(members.select(F.col("id").alias("doc_id")).distinct())
+        if not last:
+            pairs = (
+                pairs.join(seen.select(F.col("id").alias("a"), *side("a")), "a")
+                .join(seen.select(F.col("id").alias("b"), *side("b")), "b")
+                .where(alike)
+                .select("a", "b", "na", "nb")
+            )
+        pairs = written(pairs, None if last else n_members)
+        n_pairs = pairs.count()
+        if n_pairs:
+            # the sets of this round's pairs
+            wanted = written(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), min(n_rows, 2 * n_pairs))
             sets = written(shingle_table(base.join(wanted, "doc_id", "left_semi"), words).dropDuplicates(["doc_id"]))
-        left = sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("x"))
-        right = sets.select(F.col("doc_id").alias("b"), F.col("shingles").alias("y"))
-        both = F.size(F.array_intersect("x", "y"))
-        sure = written(
-            pairs.join(left, "a")
-            .join(right, "b")
-            .where(100 * both >= int(percent) * (F.col("na") + F.col("nb") - both))
-            .select("a", "b")
-        )
-        links = sure if links is None else links.unionByName(sure)
-        tested = pairs.select("a", "b") if tested is None else tested.unionByName(pairs.select("a", "b"))
-        labels = components(links)
+            left = sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("x"))
+            right = sets.select(F.col("doc_id").alias("b"), F.col("shingles").alias("y"))
+            both = F.size(F.array_intersect("x", "y"))
+            sure = written(
+                pairs.join(left, "a")
+                .join(right, "b")
+                .where(100 * both >= int(percent) * (F.col("na") + F.col("nb") - both))
+                .select("a", "b")
+            )
+            tested = pairs.select("a", "b") if tested is None else tested.unionByName(pairs.select("a", "b"))
+            labels = merged(labels, sure, n_pairs)
+        if last:
+            break
     if labels is None:
         labels = docs.sparkSession.createDataFrame([], "id long, component long")
     # each class takes its component; rows with one set take their class's
     named = written(
         classes.join(labels, F.col("rep") == F.col("id"), "left").select(
             F.col("s1").alias("c1"), F.col("s2").alias("c2"), F.col("n").alias("cn"), F.coalesce("component", "rep").alias("of")
-        )
+        ),
+        n_rows,
     )
     found = sig.select("doc_id", "n", "s1", "s2").join(
         named, (F.col("s1") == F.col("c1")) & (F.col("s2") == F.col("c2")) & (F.col("n") == F.col("cn")) & F.col("doc_id").isNotNull(), "left"

@@ -15,6 +15,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.llm.common import arrow_rows, written
+
 CELLS = 64
 #: Bytes of components in a block, about.
 BLOCK_BYTES = 4 << 20
@@ -117,6 +119,7 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 10, *, id_col: str =
                 yield pa.RecordBatch.from_arrays([pa.array([r[c] for r in out], pa.int64()) for c in range(3)], names=["query_id", "vec_id", "score"])
 
     met = left.join(right, ["dim", "block"]).select("dim", "block", "ids", "data", "query_ids", "query_data")
-    found = met.mapInArrow(run, "query_id long, vec_id long, score long")
+    with arrow_rows(vectors.sparkSession, 4):  # a row holds a block of each
+        found = written(met.mapInArrow(run, "query_id long, vec_id long, score long"))
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
     return found.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
