@@ -279,8 +279,8 @@ def near_duplicates(
             if not most:
                 break
             rows = rows.join(open_.select("bucket"), "bucket")
-            # comparing all that is left is right at any time; it comes early where it takes no more pairs than rounds do
-            last = last or left_over <= 4 * n_members
+            # comparing all that is left is right at any time; it comes early where it takes fewer pairs than a round does
+            last = last or 4 * left_over <= n_members
         if not last:
             # one class of each component stands in the bucket, another one in each round
             order = F.struct(F.xxhash64("id", F.lit(turn)).alias("h"), "id", "n", "c")
