@@ -20,15 +20,21 @@ THRESHOLDS = 24
 PENALTY = 0.0005
 
 
-def statistics(text: Column) -> dict[str, Column]:
+def split_words(text: Column) -> Column:
+    """The words of a text between white space."""
+    return F.filter(F.split(F.coalesce(text, F.lit("")), r"\s+"), lambda w: w != "")
+
+
+def statistics(text: Column, words: Column | None = None) -> dict[str, Column]:
     """Statistics of a whole text; all are 0 for a null or empty one. Counts are taken in one scan each.
 
     All are rates, which a good text keeps at any length: shares of distinct words, say, fall as texts grow.
+    words, if given, is a column of split_words(text): it is read often, and an expression would split each time.
     """
     text = F.coalesce(text, F.lit(""))
     size = F.length(text)
     per = lambda x, n: F.when(n > 0, x / n).otherwise(0.0)
-    words = F.filter(F.split(text, r"\s+"), lambda w: w != "")
+    words = split_words(text) if words is None else words
     n_words = F.size(words)
     # words that are the same as the one so many places later
     echoes = lambda k: F.size(F.filter(F.zip_with(words, F.slice(words, 1 + k, 1 << 30), lambda a, b: a == b), lambda x: x)).cast("double")
@@ -175,10 +181,11 @@ def fit(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col:
     for y, n in sizes.items():
         keep = F.when(F.col("__y") == y, F.lit(sample / n)).otherwise(keep)
     picked = own.where(unit < keep)
-    stats = statistics(F.col("__text"))
+    stats = statistics(F.col("__text"), F.col("__words"))
     rows = (
         docs.select(F.col(id_col).alias("__id"), F.col(text_col).alias("__text"))
         .join(F.broadcast(picked), "__id")
+        .withColumn("__words", split_words(F.col("__text")))
         .select("__y", *[stats[n].alias(n) for n in NAMES])
         .toPandas()
         .sort_values(["__y", *NAMES], kind="stable")
@@ -194,9 +201,9 @@ def fit(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col:
 def score(docs: DataFrame, model: RuleModel, *, id_col: str = "doc_id", text_col: str = "text", keep: list[str] | None = None) -> DataFrame:
     """(doc_id, score, and the columns in keep) for every row, from its text alone. Empty and null texts have a
     score of their own; repeated rows are answered each; columns not named are not read."""
-    stats = statistics(F.col("__text"))
+    stats = statistics(F.col("__text"), F.col("__words"))
     held = [F.col(c).alias(f"__keep_{k}") for k, c in enumerate(keep or [])]
-    rows = docs.select(F.col(id_col).alias("__id"), F.col(text_col).alias("__text"), *held)
+    rows = docs.select(F.col(id_col).alias("__id"), F.col(text_col).alias("__text"), *held).withColumn("__words", split_words(F.col("__text")))
     # the array pins each statistic, so that rules read it rather than scan the text again
     pinned = rows.select("*", F.array(*[stats[n].cast("double") for n in NAMES]).alias("__stats"))
     value = model.column([F.col("__stats")[k] for k in range(len(NAMES))])
