@@ -1,12 +1,12 @@
 """MinHash near-dedup with tensored banding.
 
-Two collections of HALVES short MinHash keys each are computed per shingle set. A table of the index is a
-pair (i, j), one key from each collection, so HALVES ** 2 tables cost only 2 * HALVES * WIDTH MinHash
+Two collections of HALVES short MinHash keys each are computed per shingle set. A table of the index is keyed
+by a pair (i, j), one key from each collection, so HALVES ** 2 tables cost only 2 * HALVES * WIDTH MinHash
 values. Sets meet in a table when both keys agree; what meets is verified on the full sets.
 
 A set pair of similarity s agrees in one key with probability s ** WIDTH, and is found with probability
 (1 - (1 - s ** WIDTH) ** HALVES) ** 2: 0.9991 at 0.75, more above. Before it is verified, a pair's values are
-compared by a byte each, and it goes if more differ than in any but one of 20,000 pairs of similarity 0.75.
+compared by 16 bits each, and it goes if more differ than in any but one of 20,000 pairs of similarity 0.75.
 """
 
 from __future__ import annotations
@@ -20,14 +20,18 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.llm.common import components, merged, written
+from tidemark.llm.common import merged, scratch, written
 from tidemark.llm.textbuf import flat, pieces
 
 WORDS = 5
 HALVES = 14
 WIDTH = 3
-#: Rounds in which a bucket's sets are held against one of its sets, before what is left is paired.
-ROUNDS = 4
+#: Tables (i, i) that are tried first, and further ones that are tried before all pairs of keys are tables.
+FIRST = 2
+#: Heads of a bucket in the rounds before all that is left is decided, about.
+HEADS = (2, 16)
+#: Bits of a set's map. What one map has and another lacks bounds an intersection.
+MAP_BITS = 2048
 
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _SPACE = np.zeros(256, bool)
@@ -117,23 +121,15 @@ def values(hashes: np.ndarray, halves: int, width: int, seed: int) -> np.ndarray
         return mixed(low)
 
 
-def half_keys(low: np.ndarray, width: int) -> np.ndarray:
-    """Keys of width values each, of any number of sets at once: the first half of a set's keys for the first collection."""
-    with np.errstate(over="ignore"):
-        weights = _powers(width - 1, np.uint64(0xE7037ED1A0B428DB))
-        return mixed((low.reshape(len(low), -1, width) * weights).sum(axis=2, dtype=np.uint64))
-
-
-def sketches(low: np.ndarray) -> np.ndarray:
-    """The last byte of every value, seven to a 64-bit number; places without a value are 0."""
-    lanes = np.zeros((len(low), -(-low.shape[1] // 7), 7), np.uint64)
-    lanes.reshape(len(low), -1)[:, : low.shape[1]] = low & np.uint64(0xFF)
-    return (lanes << (np.arange(7, dtype=np.uint64) * np.uint64(8))).sum(axis=2, dtype=np.uint64)
+def short_keys(low: np.ndarray) -> np.ndarray:
+    """Keys of WIDTH values by 16 bits each, of any number of sets at once; the first half is the first collection."""
+    lanes = (low & np.uint64(0xFFFF)).reshape(len(low), -1, WIDTH)
+    return (lanes << (np.arange(WIDTH, dtype=np.uint64) * np.uint64(16))).sum(axis=2, dtype=np.uint64)
 
 
 def unlike(a: str, b: str, count: int) -> Column:
-    """In how many bytes the sketches a and b, columns of count numbers, differ."""
-    low, top = 0x7F7F7F7F7F7F7F, 0x80808080808080
+    """In how many values the keys a and b, columns of count numbers, differ."""
+    low, top = 0x7FFF7FFF7FFF, 0x800080008000
     total = F.lit(0)
     for k in range(count):
         x = F.col(a)[k].bitwiseXOR(F.col(b)[k])
@@ -149,44 +145,45 @@ def most_unlike(values: int, share: float) -> int:
 _SIGNATURE = T.StructType(
     [
         T.StructField("doc_id", T.LongType()),
+        T.StructField("h", T.LongType()),
         T.StructField("n", T.LongType()),
         T.StructField("s1", T.LongType()),
         T.StructField("s2", T.LongType()),
-        T.StructField("one", T.ArrayType(T.LongType())),
-        T.StructField("two", T.ArrayType(T.LongType())),
-        T.StructField("sketch", T.ArrayType(T.LongType())),
+        T.StructField("keys", T.ArrayType(T.LongType())),
     ]
 )
 
 
-def signatures(docs: DataFrame, words: int, halves: int, width: int, seed: int) -> DataFrame:
-    """(doc_id, n, s1, s2, one, two, sketch): set size, a 128-bit digest of the set, the keys of both collections, a sketch."""
+def signatures(docs: DataFrame, words: int, halves: int, seed: int) -> DataFrame:
+    """(doc_id, h, n, s1, s2, keys) of docs (doc_id, h, text): set size, a 128-bit digest of the set, the keys of both collections."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             n, s1, s2, lows = [], [], [], []
-            for own in shingle_sets(batch.column(1), words):
+            for own in shingle_sets(batch.column(2), words):
                 n.append(len(own))
                 with np.errstate(over="ignore"):
                     s1.append(own.sum(dtype=np.uint64))
                     s2.append(mixed(own * _STEP).sum(dtype=np.uint64))
-                lows.append(values(own, halves, width, seed))
-            low = np.array(lows, np.uint64).reshape(-1, 2 * halves * width)
-            keys = half_keys(low, width)
-            lists = [
-                pa.ListArray.from_arrays(np.arange(0, part.size + 1, part.shape[1], dtype=np.int32), np.ascontiguousarray(part).view(np.int64).ravel())
-                for part in (keys[:, :halves], keys[:, halves:], sketches(low))
-            ]
+                lows.append(values(own, halves, WIDTH, seed))
+            keys = short_keys(np.array(lows, np.uint64).reshape(-1, 2 * halves * WIDTH))
+            lists = pa.ListArray.from_arrays(np.arange(0, keys.size + 1, 2 * halves, dtype=np.int32), np.ascontiguousarray(keys).view(np.int64).ravel())
             digests = [pa.array(np.array(x, np.uint64).view(np.int64)) for x in (s1, s2)]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(n, pa.int64()), *digests, *lists], names=[f.name for f in _SIGNATURE]
-            )
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(n, pa.int64()), *digests, lists], names=[f.name for f in _SIGNATURE])
 
     return docs.mapInArrow(run, _SIGNATURE)
 
 
+def bitmaps(sets: list[np.ndarray]) -> np.ndarray:
+    """For each set the MAP_BITS bits that its hashes name, in 64-bit numbers."""
+    out = np.zeros((len(sets), MAP_BITS), np.uint8)
+    for k, own in enumerate(sets):
+        out[k, own & np.uint64(MAP_BITS - 1)] = 1
+    return np.packbits(out, axis=1, bitorder="little").view(np.int64)
+
+
 def shingle_table(docs: DataFrame, words: int) -> DataFrame:
-    """(doc_id, shingles): the full sets, as sorted arrays."""
+    """(id, shingles, bits) of docs (id, text): the full sets, as sorted arrays, and their bitmaps."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -195,145 +192,216 @@ def shingle_table(docs: DataFrame, words: int) -> DataFrame:
                 sets = list(shingle_sets(part.column(1), words))
                 ends = np.concatenate(([0], np.cumsum([len(x) for x in sets]))).astype(np.int32)
                 values = np.concatenate(sets) if sets else np.empty(0, np.uint64)
-                yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.ListArray.from_arrays(ends, values.view(np.int64))], names=["doc_id", "shingles"]
-                )
-
-    return docs.mapInArrow(run, "doc_id long, shingles array<long>")
-
-
-def near_duplicates(
-    docs: DataFrame,
-    *,
-    id_col: str = "doc_id",
-    text_col: str = "text",
-    words: int = WORDS,
-    percent: int = 75,
-    halves: int = HALVES,
-    width: int = WIDTH,
-    rounds: int = ROUNDS,
-    seed: int = 5,
-) -> DataFrame:
-    """(doc_id, n_shingles, component_id, kept) for every row of docs.
+                bits = bitmaps(sets)
+                maps = pa.ListArray.from_arrays(np.arange(0, bits.size + 1, MAP_BITS // 64, dtype=np.int32), bits.ravel())
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.ListArray.from_arrays(ends, values.view(np.int64)), maps], names=["id", "shingles", "bits"])
 
-    A row's set holds its distinct word shingles; a text with fewer words is one shingle; a null or empty
-    text, or one of white space, has no shingle and links with nothing. Rows with equal sets form a class
-    that one row stands for. Classes that meet in a table are linked if 100 * |intersection| >= percent *
-    |union| on the full sets; a component is what links reach. Repeated rows give repeated result rows.
-    An empty table gives an empty result. Rows without an id are components of their own with a null id
-    (kept is then true). Other columns of docs are not read, whatever their names.
-
-    Large buckets: each round holds a bucket's classes against one of them, which takes as many pairs as
-    classes; later rounds go on only with buckets that still span several components, each component
-    standing in one pair. After that, only pairs of different components within a bucket are compared, by
-    their sketches, and what remains is verified. No bucket is capped.
+    return docs.mapInArrow(run, "id long, shingles array<long>, bits array<long>")
+
+
+class _Links:
+    """Links between classes (id, n, keys), found table by table and joined into components.
+
+    A class is live while a key of each collection is shared with a class of another component: only then can
+    a table bring it to a link that matters.
     """
-    base = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    sig = written(signatures(base, words, halves, width, seed))
-    n_rows = sig.count()
-    classes = written(
-        sig.where("n > 0 and doc_id is not null")
-        .groupBy("s1", "s2", "n")
-        .agg(F.min("doc_id").alias("rep")),
-        n_rows,
-    )
-    stands = classes.select("rep", F.col("n").alias("cn"), F.col("s1").alias("c1"), F.col("s2").alias("c2"))
-    of_class = (F.col("doc_id") == F.col("rep")) & (F.col("s1") == F.col("c1")) & (F.col("s2") == F.col("c2")) & (F.col("n") == F.col("cn"))
-    keyed = written(
-        sig.join(stands, of_class, "left_semi").dropDuplicates(["doc_id"]).select(F.col("doc_id").alias("id"), "n", "one", "two", "sketch"), n_rows
-    )
-
-    # the first halves of table keys that several classes share; only these classes can meet in a table
-    first = keyed.select("id", "n", F.posexplode("one").alias("i", "k1")).select("id", "n", "i", F.xxhash64("i", "k1").alias("bucket"))
-    shared = written(first.groupBy("bucket").agg(F.count("*").alias("c")).where("c > 1").select("bucket"), halves * n_rows)
-    members = written(first.join(shared, "bucket").select("bucket", "i", "id", "n"), halves * n_rows)
-    n_members = members.count()
-
-    low, high = F.least("a", "b"), F.greatest("a", "b")
-    fits = F.expr(f"100 * least(na, nb) >= {int(percent)} * greatest(na, nb)")
-    lanes, allowed = -(-2 * halves * width // 7), most_unlike(2 * halves * width, percent / 100)
-    seen = keyed.select("id", "one", "two", "sketch")
-    # the second half of a table key that both classes have
-    meet = F.lit(False)
-    for k in range(halves):
-        meet = meet | (F.col("two_a")[k] == F.col("two_b")[k])
-    alike = meet & (unlike("sketch_a", "sketch_b", lanes) <= allowed)
-    # a pair counts in the first table it meets in
-    new = F.lit(True)
-    for k in range(halves):
-        new = new & ((F.col("i") <= k) | (F.col("one_a")[k] != F.col("one_b")[k]))
-    side = lambda x: [F.col(c).alias(f"{c}_{x}") for c in ("one", "two", "sketch")]
-
-    tested: DataFrame | None = None
-    labels: DataFrame | None = None
-    for turn in range(rounds + 1):
-        rows = members.withColumn("c", F.col("id"))
-        last = turn == rounds
-        if labels is not None:
-            known = labels.select("id", F.col("component").alias("k"))
-            rows = written(members.join(known, "id", "left").select("bucket", "i", "id", "n", F.coalesce("k", "id").alias("c")), n_members)
-            # buckets that span several components, and how many pairs of different components they hold
-            sizes = rows.groupBy("bucket", "c").agg(F.count("*").alias("m")).groupBy("bucket").agg(F.count("*").alias("k"), F.sum("m").alias("m"), F.sum(F.col("m") * F.col("m")).alias("q"))
-            open_ = written(sizes.where("k > 1").select("bucket", ((F.col("m") * F.col("m") - F.col("q")) / 2).alias("p")), n_members)
-            left_over, most = open_.agg(F.sum("p"), F.count("*")).first()
-            if not most:
-                break
-            rows = rows.join(open_.select("bucket"), "bucket")
-            # comparing all that is left is right at any time; it comes early where it takes fewer pairs than a round does
-            last = last or 4 * left_over <= n_members
-        if not last:
-            # one class of each component stands in the bucket, another one in each round
-            order = F.struct(F.xxhash64("id", F.lit(turn)).alias("h"), "id", "n", "c")
-            stand = written(rows.groupBy("bucket", "c").agg(F.min(order).alias("s")).select("bucket", "s.*"), n_members) if turn else rows.select("bucket", F.xxhash64("id", F.lit(turn)).alias("h"), "id", "n", "c")
-            head = written(stand.groupBy("bucket").agg(F.min(F.struct("h", "id", "n", "c")).alias("t")).select("bucket", F.col("t.id").alias("a"), F.col("t.n").alias("na"), F.col("t.c").alias("ca")), n_members)
-            pairs = stand.select("bucket", F.col("id").alias("b"), F.col("n").alias("nb"), F.col("c").alias("cb")).join(head, "bucket").where("ca != cb")
+
+    def __init__(self, classes: DataFrame, texts: DataFrame, words: int, percent: int, halves: int):
+        """classes also has `at`, the h and doc_id of a row of texts (doc_id, h, text) that has the set."""
+        self.percent, self.halves = percent, halves
+        self.labels: DataFrame | None = None
+        self.tested: DataFrame | None = None
+        live = self._shared(classes.select("id", "n", "keys", F.col("n").alias("most"), F.col("at.h").alias("at_h"), F.col("at.doc_id").alias("at_id")))
+        at = live.select("id", "at_h", "at_id")
+        wanted = texts.join(at, (F.col("h") == F.col("at_h")) & F.col("doc_id").eqNullSafe(F.col("at_id")))
+        # rows that repeat id and text are one
+        self.sets = written(shingle_table(wanted.select("id", "text").dropDuplicates(["id"]), words))
+        self.live = written(live.drop("at_h", "at_id").join(self.sets.select("id", "bits"), "id"))
+
+    def _named(self, rows: DataFrame) -> DataFrame:
+        """rows with c, the component of their id."""
+        if self.labels is None:
+            return rows.withColumn("c", F.col("id"))
+        return rows.join(self.labels.withColumnRenamed("component", "__c"), "id", "left").withColumn("c", F.coalesce("__c", "id")).drop("__c")
+
+    def _shared(self, rows: DataFrame) -> DataFrame:
+        """The rows (id, n, keys, ...) that are live, with mask, the keys they share, and least, a bound below the sizes there."""
+        keyed = self._named(rows.select("id", "n", "keys")).select("id", "n", "c", F.posexplode("keys").alias("k", "key"))
+        open_ = keyed.groupBy("k", "key").agg(F.min("c").alias("lo"), F.max("c").alias("hi"), F.min("n").alias("least")).where("lo < hi").select("k", "key", "least")
+        masks = (
+            keyed.select("id", "k", "key")
+            .join(open_, ["k", "key"])
+            .groupBy("id")
+            .agg(F.bit_or(F.expr("shiftleft(1L, k)")).alias("mask"), F.min("least").alias("least"))
+            .where(f"mask % {1 << self.halves} > 0 and shiftright(mask, {self.halves}) > 0")
+        )
+        return written(rows.drop("mask", "least").join(masks, "id"))
+
+    def retire(self) -> None:
+        """Drops live classes that provably have no link outside their component.
+
+        A shingle that no other live class has is in no intersection. `most`, the count of the others, bounds
+        the intersection with any partner, and a link needs percent / (100 + percent) of both sizes in common.
+        """
+        self.live = self._shared(self.live)
+        single = (
+            self.sets.join(self.live.select("id"), "id", "left_semi")
+            .select("id", F.explode("shingles").alias("s"))
+            .groupBy("s")
+            .agg(F.min("id").alias("id"), F.max("id").alias("to"))
+            .where("id = to")
+            .groupBy("id")
+            .agg(F.count("*").alias("own"))
+        )
+        p = self.percent
+        counted = self.live.join(single, "id", "left").withColumn("most", F.col("n") - F.coalesce("own", F.lit(0))).drop("own")
+        least = F.greatest(F.col("least"), F.ceil(F.col("n") * p / 100))
+        self.live = self._shared(written(counted.where((100 + p) * F.col("most") >= p * (F.col("n") + least))))
+
+    def search(self, tables: list[tuple[int, int]] | None, finish: bool) -> None:
+        """Tries tables (all pairs of keys without any): one round, or rounds until every pair that a bucket brings together is decided.
+
+        In a round, a bucket that spans several components holds all its classes against some of them, its
+        heads: about as many as HEADS says, by one order of all classes. That joins most of a large group by a few
+        pairs for each class. In the last round the heads are all classes but those of the component that has
+        most of the bucket, which decides all pairs of different components. A pair is tested in the first table
+        that it meets in.
+        """
+        every = tables is None
+        tables = tables or [(i, j) for i in range(self.halves) for j in range(self.halves)]
+        numbers = F.array(*[F.lit(i * self.halves + j) for i, j in tables])
+        on = F.filter(numbers, lambda t: (F.getbit("mask", F.floor(t / self.halves).cast("int")) > 0) & (F.getbit("mask", self.halves + t % self.halves) > 0))
+        one, two = F.floor(F.col("t") / self.halves).cast("int"), self.halves + F.col("t") % self.halves
+        slim = self._named(self.live.select("id", "keys", F.explode(on).alias("t"))).select(F.xxhash64("t", F.col("keys")[one], F.col("keys")[two]).alias("bucket"), "t", "id", "c")
+        spans = [F.min("c").alias("lo"), F.max("c").alias("hi")]
+        held = slim.groupBy("bucket").agg(*spans, F.count("*").alias("m")).where("lo < hi").select("bucket", "m")
+        members = written(slim.join(held, "bucket").select("bucket", "t", "id", "m"))
+        for turn in range(len(HEADS) + 1 if finish else 1):
+            if members.isEmpty():
+                return
+            rows = self._named(members.join(self.live, "id"))
+            rows = rows.withColumn("u", F.pmod(F.xxhash64("id", F.lit(1)), F.lit(1 << 40)))
+            if turn < len(HEADS):
+                at = F.col("u") * F.col("m") / float(1 << 40)
+                rows = rows.withColumn("top", F.lit(None).cast("long"))
+                heads = rows.where((at >= (HEADS[turn - 1] if turn else 0)) & (at < HEADS[turn]))
+            else:
+                counts = self._named(members).groupBy("bucket", "c").agg(F.count("*").alias("k"))
+                top = counts.groupBy("bucket").agg(F.max(F.struct("k", "c")).alias("top")).select("bucket", F.col("top.c").alias("top"))
+                rows = rows.join(written(top), "bucket")
+                heads = rows.where("c != top")
+            if self._decide(self._met(heads, rows, tables, every)):
+                members = self._open(members)
+
+    def _open(self, members: DataFrame) -> DataFrame:
+        """The members of buckets that still span several components."""
+        spans = self._named(members.select("bucket", "id")).groupBy("bucket").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo < hi")
+        return written(members.join(spans.select("bucket"), "bucket", "left_semi"))
+
+    def _met(self, heads: DataFrame, rows: DataFrame, tables: list[tuple[int, int]], every: bool) -> DataFrame:
+        """Pairs (a, b, na, nb) of a head and another class of its bucket that sizes, keys and bitmaps do not rule out."""
+        h, p = self.halves, self.percent
+        columns = ("id", "u", "n", "most", "c", "keys", "bits")
+        left = heads.select("bucket", "t", *[F.col(c).alias(f"{c}_a") for c in columns])
+        right = rows.select("bucket", "top", *[F.col(c).alias(f"{c}_b") for c in columns])
+        agree = lambda k: F.col("keys_a")[k] == F.col("keys_b")[k]
+        first = F.lit(True)
+        if every:
+            for k in range(h):
+                first = first & ((F.floor(F.col("t") / h) <= k) | ~agree(k)) & ((F.col("t") % h <= k) | ~agree(h + k))
         else:
-            rows = written(rows.select("bucket", "i", "id", "n", "c").join(seen, "id"))
-            pairs = (
-                rows.select("bucket", "i", F.col("id").alias("a"), F.col("n").alias("na"), F.col("c").alias("ca"), *side("a"))
-                .join(rows.select("bucket", F.col("id").alias("b"), F.col("n").alias("nb"), F.col("c").alias("cb"), *side("b")), "bucket")
-                .where("ca < cb").where(fits).where(new).where(alike)
-            )
-        pairs = pairs.where(fits).select(low.alias("a"), high.alias("b"), F.when(F.col("a") < F.col("b"), F.col("na")).otherwise(F.col("nb")).alias("na"), F.when(F.col("a") < F.col("b"), F.col("nb")).otherwise(F.col("na")).alias("nb")).distinct()
-        if tested is not None:
-            pairs = pairs.join(tested, ["a", "b"], "left_anti")
-        if not last:
-            pairs = (
-                pairs.join(seen.select(F.col("id").alias("a"), *side("a")), "a")
-                .join(seen.select(F.col("id").alias("b"), *side("b")), "b")
-                .where(alike)
-                .select("a", "b", "na", "nb")
-            )
-        pairs = written(pairs, None if last else n_members)
-        n_pairs = pairs.count()
-        if n_pairs:
-            # the sets of this round's pairs
-            wanted = written(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), min(n_rows, 2 * n_pairs))
-            sets = written(shingle_table(base.join(wanted, "doc_id", "left_semi"), words).dropDuplicates(["doc_id"]))
-            left = sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("x"))
-            right = sets.select(F.col("doc_id").alias("b"), F.col("shingles").alias("y"))
-            both = F.size(F.array_intersect("x", "y"))
-            sure = written(
-                pairs.join(left, "a")
-                .join(right, "b")
-                .where(100 * both >= int(percent) * (F.col("na") + F.col("nb") - both))
-                .select("a", "b")
-            )
-            tested = pairs.select("a", "b") if tested is None else tested.unionByName(pairs.select("a", "b"))
-            labels = merged(labels, sure, n_pairs)
-        if last:
-            break
-    if labels is None:
-        labels = docs.sparkSession.createDataFrame([], "id long, component long")
-    # each class takes its component; rows with one set take their class's
-    named = written(
-        classes.join(labels, F.col("rep") == F.col("id"), "left").select(
-            F.col("s1").alias("c1"), F.col("s2").alias("c2"), F.col("n").alias("cn"), F.coalesce("component", "rep").alias("of")
-        ),
-        n_rows,
-    )
-    found = sig.select("doc_id", "n", "s1", "s2").join(
-        named, (F.col("s1") == F.col("c1")) & (F.col("s2") == F.col("c2")) & (F.col("n") == F.col("cn")) & F.col("doc_id").isNotNull(), "left"
-    )
-    own = F.coalesce("of", "doc_id")
-    return found.select("doc_id", F.col("n").alias("n_shingles"), own.alias("component_id"), F.coalesce(F.col("doc_id") == own, F.lit(True)).alias("kept"))
+            for i, j in tables:
+                first = first & ((F.col("t") <= i * h + j) | ~(agree(i) & agree(j + h)))
+        enough = lambda most: (100 + p) * most >= p * (F.col("n_a") + F.col("n_b"))
+        fits = (100 * F.least("n_a", "n_b") >= p * F.greatest("n_a", "n_b")) & enough(F.least("most_a", "most_b"))
+        ahead = (F.col("u_a") < F.col("u_b")) | ((F.col("u_a") == F.col("u_b")) & (F.col("id_a") < F.col("id_b")))
+        # the top component's classes are no heads, so that their pairs come up from the other side only
+        side = F.coalesce(F.col("c_b") == F.col("top"), F.lit(False)) | ahead
+        alike = unlike("keys_a", "keys_b", 2 * h) <= most_unlike(2 * h * WIDTH, p / 100)
+        lack = lambda x, y: sum((F.bit_count(F.col(x)[k].bitwiseAND(F.bitwise_not(F.col(y)[k]))) for k in range(1, MAP_BITS // 64)), F.bit_count(F.col(x)[0].bitwiseAND(F.bitwise_not(F.col(y)[0]))))
+        dense = enough(F.col("n_a") - lack("bits_a", "bits_b")) & enough(F.col("n_b") - lack("bits_b", "bits_a"))
+        met = left.join(right, "bucket").where((F.col("c_a") != F.col("c_b")) & side & fits & first & alike & dense)
+        a_first = F.col("id_a") < F.col("id_b")
+        pairs = met.select(*[F.when(a_first, F.col(f"{c}_{x}")).otherwise(F.col(f"{c}_{y}")).alias(n) for c, x, y, n in (("id", "a", "b", "a"), ("id", "b", "a", "b"), ("n", "a", "b", "na"), ("n", "b", "a", "nb"))])
+        return pairs if self.tested is None else pairs.join(self.tested, ["a", "b"], "left_anti")
+
+    def _decide(self, pairs: DataFrame) -> bool:
+        """Verifies pairs on the full sets and joins components by the links; whether there are any."""
+        pairs = written(pairs)
+        side = lambda x, y: self.sets.select(F.col("id").alias(x), F.col("shingles").alias(y))
+        both = F.size(F.array_intersect("x", "y"))
+        sure = pairs.join(side("a", "x"), "a").join(side("b", "y"), "b").withColumn("both", both)
+        sure = written(sure.where(100 * F.col("both") >= self.percent * (F.col("na") + F.col("nb") - F.col("both"))).select("a", "b"))
+        self.tested = pairs.select("a", "b") if self.tested is None else self.tested.unionByName(pairs.select("a", "b"))
+        if sure.isEmpty():
+            return False
+        self.labels = merged(self.labels, sure)
+        return True
+
+
+def grouped(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, percent: int = 75, halves: int = HALVES, seed: int = 5) -> DataFrame:
+    """(doc_id, h, n, component_id, group) for every row of docs; h is xxhash64 of the text.
+
+    Rows of one group are linked; group is null for rows without shingles. component_id is the least id of the group.
+    """
+    spark = docs.sparkSession
+    with scratch(spark):
+        text = F.col(text_col)
+        base = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text).alias("h"), text.alias("text"))
+        sig = written(signatures(base, words, halves, seed))
+        # a set's class is known by a number of its own, as one id can have several texts
+        sets = sig.where("n > 0").groupBy("s1", "s2", "n").agg(F.min("doc_id").alias("rep"), F.min(F.struct("h", "doc_id")).alias("at"), F.any_value("keys").alias("keys"))
+        classes = written(sets.select(F.monotonically_increasing_id().alias("id"), "s1", "s2", "n", "rep", "at", "keys"))
+        links = _Links(classes.select("id", "n", "keys", "at"), base, words, percent, halves)
+        diagonal = [(k, k) for k in range(halves)]
+        links.search(diagonal[:FIRST], False)
+        links.search(diagonal[FIRST:], False)
+        links.retire()
+        links.search(None, True)
+        named = written(links._named(classes.select("id", "s1", "s2", "n", "rep")))
+        least = named.groupBy("c").agg(F.min("rep").alias("of"))
+        named = named.join(least, "c").select(F.col("s1").alias("c1"), F.col("s2").alias("c2"), F.col("n").alias("cn"), "of", "c")
+        found = sig.select("doc_id", "h", "n", "s1", "s2").join(named, (F.col("s1") == F.col("c1")) & (F.col("s2") == F.col("c2")) & (F.col("n") == F.col("cn")), "left")
+        own = F.when(F.col("c").isNull(), F.col("doc_id")).otherwise(F.col("of"))
+        return written(found.select("doc_id", "h", "n", own.alias("component_id"), F.col("c").alias("group")), outlives=True)
+
+
+def near_duplicates(docs: DataFrame, **how) -> DataFrame:
+    """(doc_id, n_shingles, component_id, kept) for every row of docs. how: the options of grouped().
+
+    A row's set holds its distinct word shingles; a text with fewer words is one shingle; a null or empty
+    text, or one of white space, has no shingle and links with nothing. Texts are read whole, however long. Rows
+    with equal sets form a class; classes that meet in a table are linked if 100 * |intersection| >= percent *
+    |union| on the full sets; a component is what links reach, and its id the least doc_id there. A row that
+    repeats an id is a document of its own, with a result row of its own; equal rows have equal results. An id
+    with several texts belongs to the component of each. Rows without an id are linked like others; a
+    component of such rows only has a null id, and all its rows are kept. An empty table gives an empty result. Other
+    columns of docs are not read, whatever their names.
+
+    Large buckets: what a round compares grows with a bucket's classes times its heads. Buckets within one
+    component are closed, and classes that provably link with nothing else are retired, so that a large group
+    of copies takes few heads. No bucket is capped: in the end all pairs of different components are decided.
+    """
+    own = F.col("component_id")
+    return grouped(docs, **how).select("doc_id", F.col("n").alias("n_shingles"), "component_id", F.coalesce(F.col("doc_id") == own, own.isNull()).alias("kept"))
+
+
+def representatives(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:
+    """The rows of docs that stay: one of each group of near-duplicates, the one with the least id (any, without ids).
+
+    Rows without shingles link with nothing and all stay, but for rows with an id that repeat id and text. An empty
+    table gives an empty one. Columns keep their names and order, whatever they are.
+    """
+    spark = docs.sparkSession
+    with scratch(spark):
+        found = grouped(docs, id_col=id_col, text_col=text_col, **how)
+        rows = written(found.groupBy("doc_id", "h").agg(F.count("*").alias("times"), F.any_value("group").alias("group")))
+        least = rows.where("group is not null").groupBy("group").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "h")).alias("r"))
+        stays = F.col("group").isNull() | (F.col("doc_id").eqNullSafe(F.col("r.doc_id")) & (F.col("h") == F.col("r.h")))
+        again = (F.col("times") > 1) & (F.col("group").isNotNull() | F.col("doc_id").isNotNull())
+        named = rows.join(least, "group", "left").select(F.col("doc_id").alias("__id"), F.col("h").alias("__h"), stays.alias("stays"), again.alias("again"))
+        plan = written(named.where("not stays or again"), outlives=True)
+    same = lambda: docs[id_col].cast("long").eqNullSafe(F.col("__id")) & (F.xxhash64(docs[text_col]) == F.col("__h"))
+    rest = docs.join(plan, same(), "left_anti")
+    # of rows that repeat an id and text one stays; they are few as a rule, and only they are compared
+    return rest.unionByName(docs.join(plan.where("stays and again"), same(), "left_semi").dropDuplicates([id_col, text_col]))
