@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import bpe, langid, minhash, mixing, pii, quality
-from tidemark.llm.common import written
+from tidemark.llm.common import scratch, written
 
 #: Documents whose score is below this go.
 LEAST_QUALITY = 0.7
@@ -25,13 +25,9 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates: the one with the least id. Rows that repeat an id and text are one."""
-    found = minhash.near_duplicates(docs)
-    ids = written(found.groupBy("doc_id").agg(F.max("kept").alias("kept"), F.count("*").alias("n")))
-    odd = ids.where("not kept or n > 1").select("doc_id")
-    rest = docs.join(odd, "doc_id", "left_anti").select(docs.columns)
-    repeated = docs.join(ids.where("kept and n > 1").select("doc_id"), "doc_id", "left_semi").select(docs.columns)
-    return rest.unionByName(repeated.dropDuplicates(["doc_id", "text"]))
+    """One document of each group of near-duplicates, the one with the least id; also among rows without an id. Rows
+    without words link with nothing and stay; rows that repeat an id and text are one."""
+    return minhash.representatives(docs)
 
 
 def redact_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -64,8 +60,9 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The stages applied to documents, each written as Parquet and read again."""
+    """The stages applied to documents, each written as Parquet and read again; what a stage needed goes with it."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for _, stage in STAGES[:-1]:
-        docs = written(stage(spark, docs, sf_dir))
+        with scratch(spark):
+            docs = written(stage(spark, docs, sf_dir), outlives=True)
     return STAGES[-1][1](spark, docs, sf_dir)
