@@ -26,10 +26,10 @@ from tidemark.llm.textbuf import flat, pieces
 WORDS = 5
 HALVES = 14
 WIDTH = 3
-#: Tables (i, i) that are tried first, and further ones that are tried before all pairs of keys are tables.
+#: Tables (i, i) that are tried first; all of these are tried before all pairs of keys are.
 FIRST = 2
-#: Heads of a bucket in the rounds before all that is left is decided, about.
-HEADS = (2, 16)
+#: Heads of a bucket up to each of the rounds before all that is left is decided, about.
+HEADS = (2, 16, 128)
 #: Bits of a set's map. What one map has and another lacks bounds an intersection.
 MAP_BITS = 2048
 
@@ -199,6 +199,11 @@ def shingle_table(docs: DataFrame, words: int) -> DataFrame:
     return docs.mapInArrow(run, "id long, shingles array<long>, bits array<long>")
 
 
+def _place(class_id: Column) -> Column:
+    """A class's place in the order of all, from 0 to 2 ** 40."""
+    return F.pmod(F.xxhash64(class_id, F.lit(1)), F.lit(1 << 40))
+
+
 class _Links:
     """Links between classes (id, n, keys), found table by table and joined into components.
 
@@ -258,55 +263,62 @@ class _Links:
         least = F.greatest(F.col("least"), F.ceil(F.col("n") * p / 100))
         self.live = self._shared(written(counted.where((100 + p) * F.col("most") >= p * (F.col("n") + least))))
 
-    def search(self, tables: list[tuple[int, int]] | None, finish: bool) -> None:
-        """Tries tables (all pairs of keys without any): one round, or rounds until every pair that a bucket brings together is decided.
-
-        In a round, a bucket that spans several components holds all its classes against some of them, its
-        heads: about as many as HEADS says, by one order of all classes. That joins most of a large group by a few
-        pairs for each class. In the last round the heads are all classes but those of the component that has
-        most of the bucket, which decides all pairs of different components. A pair is tested in the first table
-        that it meets in.
-        """
-        every = tables is None
-        tables = tables or [(i, j) for i in range(self.halves) for j in range(self.halves)]
+    def _tables(self, tables: list[tuple[int, int]]) -> tuple[Column, Column]:
+        """(the numbers of those tables that a live class may meet another component in, the bucket in table t)."""
         numbers = F.array(*[F.lit(i * self.halves + j) for i, j in tables])
         on = F.filter(numbers, lambda t: (F.getbit("mask", F.floor(t / self.halves).cast("int")) > 0) & (F.getbit("mask", self.halves + t % self.halves) > 0))
         one, two = F.floor(F.col("t") / self.halves).cast("int"), self.halves + F.col("t") % self.halves
-        slim = self._named(self.live.select("id", "keys", F.explode(on).alias("t"))).select(F.xxhash64("t", F.col("keys")[one], F.col("keys")[two]).alias("bucket"), "t", "id", "c")
-        spans = [F.min("c").alias("lo"), F.max("c").alias("hi")]
-        held = slim.groupBy("bucket").agg(*spans, F.count("*").alias("m")).where("lo < hi").select("bucket", "m")
+        return on, F.xxhash64("t", F.col("keys")[one], F.col("keys")[two])
+
+    def stars(self, tables: list[tuple[int, int]], heads: tuple[int, ...]) -> None:
+        """Tries tables in rounds: a bucket that spans several components holds all its classes against about so many of them.
+
+        That joins most of a large group by a few pairs for each class, whose order is one in all tables. A pair is
+        tested in the first table that it meets in, when the class that comes first is a head.
+        """
+        on, bucket = self._tables(tables)
+        slim = self._named(self.live.select("id", "keys", F.explode(on).alias("t"))).select(bucket.alias("bucket"), "t", "id", "c")
+        held = slim.groupBy("bucket").agg(F.min("c").alias("lo"), F.max("c").alias("hi"), F.count("*").alias("m")).where("lo < hi").select("bucket", "m")
         members = written(slim.join(held, "bucket").select("bucket", "t", "id", "m"))
-        for turn in range(len(HEADS) + 1 if finish else 1):
+        for low, high in zip((0, *heads), heads, strict=False):
             if members.isEmpty():
                 return
-            rows = self._named(members.join(self.live, "id"))
-            rows = rows.withColumn("u", F.pmod(F.xxhash64("id", F.lit(1)), F.lit(1 << 40)))
-            if turn < len(HEADS):
-                at = F.col("u") * F.col("m") / float(1 << 40)
-                rows = rows.withColumn("top", F.lit(None).cast("long"))
-                heads = rows.where((at >= (HEADS[turn - 1] if turn else 0)) & (at < HEADS[turn]))
-            else:
-                counts = self._named(members).groupBy("bucket", "c").agg(F.count("*").alias("k"))
-                top = counts.groupBy("bucket").agg(F.max(F.struct("k", "c")).alias("top")).select("bucket", F.col("top.c").alias("top"))
-                rows = rows.join(written(top), "bucket")
-                heads = rows.where("c != top")
-            if self._decide(self._met(heads, rows, tables, every)):
+            rows = self._named(members.join(self.live, "id")).withColumn("u", _place(F.col("id"))).withColumn("head", F.lit(True))
+            at = F.col("u") * F.col("m") / float(1 << 40)
+            if self._decide(self._met(rows.where((at >= low) & (at < high)), rows, tables)):
                 members = self._open(members)
 
+    def finish(self) -> None:
+        """Decides all pairs of different components that any of all tables (i, j) brings together.
+
+        In a bucket of a first key, classes of one component may be left to the others: that which has most of it.
+        Classes that are so left in all their buckets are of one component wherever they meet; all others are heads, and
+        held against every class they meet.
+        """
+        tables = [(i, j) for i in range(self.halves) for j in range(self.halves)]
+        firsts = self._named(self.live.select("id", "keys")).select("id", "c", F.posexplode(F.slice("keys", 1, self.halves)).alias("k", "key"))
+        top = firsts.groupBy("k", "key", "c").agg(F.count("*").alias("m")).groupBy("k", "key").agg(F.max(F.struct("m", "c")).alias("top"))
+        heads = firsts.join(top.select("k", "key", F.col("top.c").alias("top")), ["k", "key"]).where("c != top").select("id", F.lit(True).alias("head")).distinct()
+        rows = self._named(self.live.join(heads, "id", "left")).withColumn("u", _place(F.col("id"))).withColumn("head", F.coalesce("head", F.lit(False)))
+        rows = written(rows)
+        on, bucket = self._tables(tables)
+        spread = lambda df: df.withColumn("t", F.explode(on)).withColumn("bucket", bucket)
+        self._decide(self._met(spread(rows.where("head")), spread(rows), tables))
+
     def _open(self, members: DataFrame) -> DataFrame:
         """The members of buckets that still span several components."""
         spans = self._named(members.select("bucket", "id")).groupBy("bucket").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo < hi")
         return written(members.join(spans.select("bucket"), "bucket", "left_semi"))
 
-    def _met(self, heads: DataFrame, rows: DataFrame, tables: list[tuple[int, int]], every: bool) -> DataFrame:
+    def _met(self, heads: DataFrame, rows: DataFrame, tables: list[tuple[int, int]]) -> DataFrame:
         """Pairs (a, b, na, nb) of a head and another class of its bucket that sizes, keys and bitmaps do not rule out."""
         h, p = self.halves, self.percent
         columns = ("id", "u", "n", "most", "c", "keys", "bits")
         left = heads.select("bucket", "t", *[F.col(c).alias(f"{c}_a") for c in columns])
-        right = rows.select("bucket", "top", *[F.col(c).alias(f"{c}_b") for c in columns])
+        right = rows.select("bucket", "head", *[F.col(c).alias(f"{c}_b") for c in columns])
         agree = lambda k: F.col("keys_a")[k] == F.col("keys_b")[k]
         first = F.lit(True)
-        if every:
+        if len(tables) == h * h:
             for k in range(h):
                 first = first & ((F.floor(F.col("t") / h) <= k) | ~agree(k)) & ((F.col("t") % h <= k) | ~agree(h + k))
         else:
@@ -315,8 +327,8 @@ class _Links:
         enough = lambda most: (100 + p) * most >= p * (F.col("n_a") + F.col("n_b"))
         fits = (100 * F.least("n_a", "n_b") >= p * F.greatest("n_a", "n_b")) & enough(F.least("most_a", "most_b"))
         ahead = (F.col("u_a") < F.col("u_b")) | ((F.col("u_a") == F.col("u_b")) & (F.col("id_a") < F.col("id_b")))
-        # the top component's classes are no heads, so that their pairs come up from the other side only
-        side = F.coalesce(F.col("c_b") == F.col("top"), F.lit(False)) | ahead
+        # a pair of two heads comes up from one side, one with another class from its head's
+        side = ~F.col("head") | ahead
         alike = unlike("keys_a", "keys_b", 2 * h) <= most_unlike(2 * h * WIDTH, p / 100)
         lack = lambda x, y: sum((F.bit_count(F.col(x)[k].bitwiseAND(F.bitwise_not(F.col(y)[k]))) for k in range(1, MAP_BITS // 64)), F.bit_count(F.col(x)[0].bitwiseAND(F.bitwise_not(F.col(y)[0]))))
         dense = enough(F.col("n_a") - lack("bits_a", "bits_b")) & enough(F.col("n_b") - lack("bits_b", "bits_a"))
@@ -354,10 +366,10 @@ def grouped(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
         classes = written(sets.select(F.monotonically_increasing_id().alias("id"), "s1", "s2", "n", "rep", "at", "keys"))
         links = _Links(classes.select("id", "n", "keys", "at"), base, words, percent, halves)
         diagonal = [(k, k) for k in range(halves)]
-        links.search(diagonal[:FIRST], False)
-        links.search(diagonal[FIRST:], False)
+        links.stars(diagonal[:FIRST], HEADS[:1])
+        links.stars(diagonal[FIRST:], HEADS)
         links.retire()
-        links.search(None, True)
+        links.finish()
         named = written(links._named(classes.select("id", "s1", "s2", "n", "rep")))
         least = named.groupBy("c").agg(F.min("rep").alias("of"))
         named = named.join(least, "c").select(F.col("s1").alias("c1"), F.col("s2").alias("c2"), F.col("n").alias("cn"), "of", "c")
