@@ -15,13 +15,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import arrow_rows, components, written
+from tidemark.llm.common import arrow_rows, components, scratch, written
 from tidemark.llm.topk import usable
 
 #: Leading principal dimensions kept, and those whose cells pair intervals.
 DIMS, KEYED = 12, 3
 #: Bytes of components in an interval, about; rows compared at once.
 BLOCK_BYTES, LEAF = 1 << 20, 256
+#: Least width of the cells that pair intervals: coordinates are within 1 of 0, so a box is in 18 ** KEYED cells at most.
+STEP = 0.125
 #: Longer vectors are first projected on this many fixed random directions.
 WIDE = 256
 
@@ -157,38 +159,41 @@ def near_vectors(vectors: DataFrame, least: float = 0.95, *, id_col: str = "vec_
 
     Two vectors link if their cosine is at least `least`. Vectors that are null, empty or zero, or hold null or
     non-finite components, link with nothing, nor do vectors of different lengths. Rows with equal
-    components are compared as one and count as many; a row that repeats an id is a vector of its own
-    and shares its component. Rows without an id link with nothing. Other columns are not read.
+    components are compared as one and count as many. A row that repeats an id is a vector of its own, with its own
+    links; component_id is the least id that a row's links reach. Rows without an id link with nothing. An empty
+    table has no results; other columns are not read.
     """
     spark = vectors.sparkSession
-    base = vectors.select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).alias("v"))
-    fit = usable(F.col("v")) & F.col("id").isNotNull() & F.exists("v", lambda x: x != 0)
-    # -0.0 and 0.0 are one component
-    base = base.withColumn("ok", F.coalesce(fit, F.lit(False))).withColumn("v", F.when(F.col("ok"), F.transform("v", lambda x: x + F.lit(0).cast("float"))))
-    keyed = written(base.select("id", "ok", "v", F.xxhash64("v").alias("h1"), F.xxhash64(F.lit(1), "v").alias("h2"), F.size("v").alias("dim")))
-    classes = written(
-        keyed.where("ok").groupBy("dim", "h1", "h2").agg(F.min("id").alias("rep"), F.count("*").alias("n"), F.min_by("v", "id").alias("v"))
-    )
-    epsilon = float(np.sqrt(max(0.0, 2 - 2 * least))) + 1e-6
-    found = None
-    for dim, count in sorted((r["dim"], r["c"]) for r in classes.groupBy("dim").agg(F.count("*").alias("c")).collect()):
-        part = _linked(classes.where(F.col("dim") == dim), dim, count, least, epsilon)
-        found = part if found is None else found.unionByName(part)
-    if found is None:
-        found = spark.createDataFrame([], "id long, links long, to long")
-    with arrow_rows(spark, 8):  # a row holds two intervals
-        found = written(found)
-    labels = components(found.where("id != to").select(F.col("id").alias("a"), F.col("to").alias("b")))
-    links = found.groupBy("id").agg(F.sum("links").alias("links"))
-    named = written(
-        classes.join(links, F.col("rep") == F.col("id"), "left").drop("id")
-        .join(labels, F.col("rep") == F.col("id"), "left")
-        .select(F.col("dim").alias("cd"), F.col("h1").alias("c1"), F.col("h2").alias("c2"), (F.coalesce("links", F.lit(0)) + F.col("n") - 1).alias("links"), F.coalesce("component", "rep").alias("of"))
-    )
-    own = F.coalesce("of", "id")
-    return keyed.select("id", "ok", "dim", "h1", "h2").join(
-        named, F.col("ok") & (F.col("dim") == F.col("cd")) & (F.col("h1") == F.col("c1")) & (F.col("h2") == F.col("c2")), "left"
-    ).select(F.col("id").alias("vec_id"), F.coalesce("links", F.lit(0)).alias("n_links"), own.alias("component_id"), F.coalesce(F.col("id") == own, F.lit(True)).alias("kept"))
+    with scratch(spark):
+        base = vectors.select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).alias("v"))
+        fit = usable(F.col("v")) & F.col("id").isNotNull() & F.exists("v", lambda x: x != 0)
+        # -0.0 and 0.0 are one component
+        base = base.withColumn("ok", F.coalesce(fit, F.lit(False))).withColumn("v", F.when(F.col("ok"), F.transform("v", lambda x: x + F.lit(0).cast("float"))))
+        keyed = written(base.select("id", "ok", "v", F.xxhash64("v").alias("h1"), F.xxhash64(F.lit(1), "v").alias("h2"), F.size("v").alias("dim")))
+        # vectors are known by a number of their own, as one id can have several
+        single = keyed.where("ok").groupBy("dim", "h1", "h2").agg(F.min("id").alias("rep"), F.count("*").alias("n"), F.min_by("v", "id").alias("v"))
+        classes = written(single.select(F.monotonically_increasing_id().alias("id"), "dim", "h1", "h2", "rep", "n", "v"))
+        epsilon = float(np.sqrt(max(0.0, 2 - 2 * least))) + 1e-6
+        found = None
+        for dim, count in sorted((r["dim"], r["c"]) for r in classes.groupBy("dim").agg(F.count("*").alias("c")).collect()):
+            part = _linked(classes.where(F.col("dim") == dim), dim, count, least, epsilon)
+            found = part if found is None else found.unionByName(part)
+        if found is None:
+            found = spark.createDataFrame([], "id long, links long, to long")
+        with arrow_rows(spark, 8):  # a row holds two intervals
+            found = written(found)
+        labels = components(found.where("id != to").select(F.col("id").alias("a"), F.col("to").alias("b")))
+        links = found.groupBy("id").agg(F.sum("links").alias("links"))
+        named = written(
+            classes.select("id", "dim", "h1", "h2", "rep", "n").join(links, "id", "left").join(labels, "id", "left")
+            .select(F.col("dim").alias("cd"), F.col("h1").alias("c1"), F.col("h2").alias("c2"), "rep", (F.coalesce("links", F.lit(0)) + F.col("n") - 1).alias("links"), F.coalesce("component", "id").alias("c"))
+        )
+        named = named.join(named.groupBy("c").agg(F.min("rep").alias("of")), "c").drop("c", "rep")
+        own = F.coalesce("of", "id")
+        done = keyed.select("id", "ok", "dim", "h1", "h2").join(
+            named, F.col("ok") & (F.col("dim") == F.col("cd")) & (F.col("h1") == F.col("c1")) & (F.col("h2") == F.col("c2")), "left"
+        ).select(F.col("id").alias("vec_id"), F.coalesce("links", F.lit(0)).alias("n_links"), own.alias("component_id"), F.coalesce(F.col("id") == own, F.lit(True)).alias("kept"))
+        return written(done, outlives=True)
 
 
 def _linked(classes: DataFrame, dim: int, count: int, least: float, epsilon: float) -> DataFrame:
@@ -206,7 +211,7 @@ def _linked(classes: DataFrame, dim: int, count: int, least: float, epsilon: flo
                 yield pa.RecordBatch.from_arrays([*batch.columns, lists], names=["id", "n", "v", "y"])
 
     kind = classes.schema["v"].dataType.simpleString()
-    placed = classes.select(F.col("rep").alias("id"), "n", "v").mapInArrow(project, f"id long, n long, v {kind}, y array<double>")
+    placed = classes.select("id", "n", "v").mapInArrow(project, f"id long, n long, v {kind}, y array<double>")
     cell = F.transform("y", lambda y: F.floor(y / epsilon))
     placed = written(placed.withColumn("cell", cell))
     # the sequence in grid order; an id ends the key, so that one cell can fill many intervals
@@ -235,7 +240,9 @@ def _linked(classes: DataFrame, dim: int, count: int, least: float, epsilon: flo
     packs = written(ordered.mapInArrow(pack, f"block long, ids array<long>, counts array<long>, data {kind}, low array<double>, high array<double>"))
     boxes = packs.select("block", "low", "high")
     keyed = range(min(KEYED, k))
-    spans = lambda by: [F.sequence(F.floor(F.col("low")[d] / epsilon) - by, F.floor(F.col("high")[d] / epsilon) + by) for d in keyed]
+    # any grid at least epsilon wide will do; a finer one than STEP would only name more cells for a box
+    step = max(epsilon, STEP)
+    spans = lambda by: [F.sequence(F.floor(F.col("low")[d] / step) - by, F.floor(F.col("high")[d] / step) + by) for d in keyed]
 
     def spread(by: int, prefix: str) -> DataFrame:
         df = boxes

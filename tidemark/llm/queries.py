@@ -56,8 +56,7 @@ def op3_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
-    vectors = _table(spark, sf_dir, "embeddings")
-    found = topk.top_k(vectors, vectors.where("vec_id % 100 = 0"), 10)
+    found = topk.top_k(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, 10)
     return found.select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
 
 
