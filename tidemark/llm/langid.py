@@ -21,6 +21,8 @@ from tidemark.llm.textbuf import flat, pieces
 BUCKETS = 1 << 15
 #: Labelled rows that a model is fitted on, for each language.
 SAMPLE = 3000
+#: Languages of a model: those with the most labelled rows.
+LANGUAGES = 200
 ALPHA = 0.5
 STEPS = 12
 #: Languages under this share of the full mixture are not candidates.
@@ -105,15 +107,16 @@ class Model:
         return share, loglik
 
 
-def fit(rows: DataFrame, *, text_col: str = "text", lang_col: str = "lang", sample: int = SAMPLE) -> Model:
+def fit(rows: DataFrame, *, text_col: str = "text", lang_col: str = "lang", sample: int = SAMPLE, languages: int = LANGUAGES) -> Model:
     """A model of the rows with a text and a language, from at most about sample rows of each language.
 
-    The rows are those with the least hash of their text, so that a hot source or language has no more
-    say than its bound; trigram counts are summed on the executors, and what reaches the driver has one
+    Of more than `languages` values the most frequent ones are learned, so that a column of stray values
+    cannot outgrow the driver. The rows are those with the least hash of their text, so that a hot source or
+    language has no more say than its bound; trigram counts are summed on the executors, and what reaches the driver has one
     row for each language and partition of the sums.
     """
     labelled = rows.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
-    sizes = labelled.groupBy(F.col(lang_col).alias("lang")).count().collect()
+    sizes = labelled.groupBy(F.col(lang_col).alias("lang")).count().orderBy(F.desc("count"), "lang").limit(languages).collect()
     langs = sorted(r["lang"] for r in sizes)
     if not langs:
         return Model([], np.zeros((BUCKETS, 0)))
@@ -145,7 +148,8 @@ def predict(docs: DataFrame, model: Model, *, id_col: str = "doc_id", text_col:
     """(doc_id, lang_pred, score, mixture) for every row: the language with the largest proportion of the
     chosen set (ties to the first by name), that proportion, and the whole mixture. A text that is null or has no letter,
     and any text under a model without languages, is `und` with score 0 and an empty mixture. Repeated rows
-    are answered each; other columns are not read. The model is languages * BUCKETS floats."""
+    are answered each; other columns are not read; an empty table has no results. Texts are read whole, one piece at
+    a time, a longer text than a piece as one of its own. The model is languages * BUCKETS floats."""
     spark = docs.sparkSession
     sent = spark.sparkContext.broadcast((model.langs, model.table))
 

@@ -170,9 +170,9 @@ def fit_rules(x: np.ndarray, y: np.ndarray, w: np.ndarray, penalty: float = PENA
 def fit(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", sample: int = SAMPLE) -> RuleModel:
     """A model of the labelled rows of docs, from about sample rows of each class, weighted back to the classes' shares.
 
-    Rows with a null label or id are left out; of several labels of a row the least counts. The sample is of
-    the rows with the least hash of their id. Its ids are broadcast, and its statistics reach the driver: both are
-    bounded by the parameter.
+    Rows with a null label or id are left out; of several labels of an id the least counts, of several texts the one
+    with the least hash. The sample is of the rows with the least hash of their id. Its ids are broadcast, and its
+    statistics reach the driver: both are bounded by the parameter.
     """
     own = labels.where(F.col(id_col).isNotNull() & F.col(label_col).isNotNull()).groupBy(F.col(id_col).alias("__id")).agg((F.min(label_col) > 0).cast("int").alias("__y"))
     sizes = {r["__y"]: r["count"] for r in own.groupBy("__y").count().collect()}
@@ -185,6 +185,8 @@ def fit(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col:
     rows = (
         docs.select(F.col(id_col).alias("__id"), F.col(text_col).alias("__text"))
         .join(F.broadcast(picked), "__id")
+        .groupBy("__id", "__y")
+        .agg(F.min_by("__text", F.xxhash64("__text")).alias("__text"))
         .withColumn("__words", split_words(F.col("__text")))
         .select("__y", *[stats[n].alias(n) for n in NAMES])
         .toPandas()
@@ -198,13 +200,19 @@ def fit(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col:
     return fit_rules(x, y, w * (len(w) / w.sum()) if len(w) else w)
 
 
-def score(docs: DataFrame, model: RuleModel, *, id_col: str = "doc_id", text_col: str = "text", keep: list[str] | None = None) -> DataFrame:
-    """(doc_id, score, and the columns in keep) for every row, from its text alone. Empty and null texts have a
-    score of their own; repeated rows are answered each; columns not named are not read."""
-    stats = statistics(F.col("__text"), F.col("__words"))
-    held = [F.col(c).alias(f"__keep_{k}") for k, c in enumerate(keep or [])]
-    rows = docs.select(F.col(id_col).alias("__id"), F.col(text_col).alias("__text"), *held).withColumn("__words", split_words(F.col("__text")))
-    # the array pins each statistic, so that rules read it rather than scan the text again
-    pinned = rows.select("*", F.array(*[stats[n].cast("double") for n in NAMES]).alias("__stats"))
-    value = model.column([F.col("__stats")[k] for k in range(len(NAMES))])
-    return pinned.select(F.col("__id").alias("doc_id"), value.alias("score"), *[F.col(f"__keep_{k}").alias(c) for k, c in enumerate(keep or [])])
+def score_column(text: Column, model: RuleModel) -> Column:
+    """The score of a text as one expression. Words and statistics are bound to variables inside it: wherever the
+    optimiser moves or repeats the column, a text is split once and scanned once for each statistic."""
+
+    def of_words(words: Column) -> Column:
+        stats = statistics(text, words)
+        pinned = F.array(F.array(*[stats[n].cast("double") for n in NAMES]))
+        return F.transform(pinned, lambda s: model.column([s[k] for k in range(len(NAMES))]))[0]
+
+    return F.transform(F.array(split_words(text)), of_words)[0]
+
+
+def score(docs: DataFrame, model: RuleModel, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(doc_id, score) for every row, from its whole text alone, however long. Null and empty texts have one score of
+    their own; repeated rows are answered each; an empty table has no results; other columns are not read."""
+    return docs.select(F.col(id_col).alias("doc_id"), score_column(F.col(text_col), model).alias("score"))
