@@ -2,8 +2,9 @@
 
 A source's weight is its share of tokens raised to an exponent in [0, 1], normalised. The exponent is found by
 bisection: the largest mixture entropy or the fewest repeats that are asked for. Weights become quotas of
-tokens, and quotas become epochs: whole ones take every row of the source, a last partial one takes rows in
-the order of a permutation of its own, block by block, until the quota is spent.
+tokens, and quotas become epochs: whole ones take every row of the source, a last partial one takes as much as is
+left. Rows of a source are dealt into blocks; every epoch permutes the blocks, and the partial one takes them in its
+order until the quota is spent, the last block row by row.
 """
 
 from __future__ import annotations
@@ -15,7 +16,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.common import written
 
-#: Rows of a block of a permutation, on average.
+#: Rows of a block, on average.
 BLOCK = 2048
 #: Exponents tried at once when a sum over sources is needed.
 FAN = 32
@@ -64,6 +65,22 @@ def word_count(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(r"\S+")), F.lit(0)).cast("long")
 
 
+def _own(row_id: Column, text: Column) -> Column:
+    """A row's own 32 hexadecimal digits, from its id and text: rows without an id are not one place."""
+    text = F.coalesce(text.cast("string"), F.lit(""))
+    return F.md5(F.concat_ws(":", F.coalesce(row_id.cast("string"), F.lit("")), F.crc32(text.cast("binary")), F.length(text)).cast("binary"))
+
+
+def _block(own: Column, n: Column) -> Column:
+    """The block that a row is dealt into, of a source of n rows."""
+    return F.floor(F.conv(F.substring(own, 1, 13), 16, 10).cast("double") / float(1 << 52) * F.ceil(n / float(BLOCK)))
+
+
+def _turn(seed: int, epoch: Column, key: Column, block: Column) -> Column:
+    """A block's place in the permutation of an epoch, as 32 hexadecimal digits."""
+    return F.md5(F.concat_ws(":", F.lit(str(seed)), epoch.cast("string"), block.cast("string"), key).cast("binary"))
+
+
 def mixture(
     docs: DataFrame,
     *,
@@ -79,12 +96,12 @@ def mixture(
 
     Without a budget the table is as large as it takes for every source to be used once at least: nothing
     is dropped, and small sources repeat. With one, it is the total number of tokens. A source without tokens costs nothing
-    and is used once. rows holds key, id, tokens of every document.
+    and is used once. rows holds key, own (a hash of id and text) and tokens of every document.
     """
     if (repeats is None) == (entropy is None):
         raise ValueError("either repeats or entropy is needed")
     key = F.concat(F.when(F.col(source_col).isNull(), F.lit("0")).otherwise("1"), F.coalesce(F.col(source_col).cast("string"), F.lit("")))
-    rows = written(docs.select(key.alias("key"), F.col(id_col).alias("id"), (word_count(F.col(text_col)) if tokens is None else tokens).alias("tokens")))
+    rows = written(docs.select(key.alias("key"), _own(F.col(id_col), F.col(text_col)).alias("own"), (word_count(F.col(text_col)) if tokens is None else tokens).alias("tokens")))
     sources = written(rows.groupBy("key").agg(F.sum("tokens").alias("tokens"), F.count("*").alias("n")))
     total, most, least = sources.where("tokens > 0").agg(F.sum("tokens"), F.max("tokens"), F.min("tokens")).first()
     total = total or 0
@@ -103,11 +120,6 @@ def mixture(
     return rows, written(quotas.withColumn("left", F.col("quota") - F.col("whole") * F.col("tokens")))
 
 
-def _order(seed: int, epoch: Column, row_id: Column) -> Column:
-    """A row's place in the permutation of an epoch, as 32 hexadecimal digits."""
-    return F.md5(F.concat_ws(":", F.lit(str(seed)), epoch.cast("string"), F.coalesce(row_id.cast("string"), F.lit(""))).cast("binary"))
-
-
 def mix(
     docs: DataFrame,
     *,
@@ -119,47 +131,45 @@ def mix(
     entropy: float | None = None,
     budget: int | None = None,
     seed: int = 29,
+    name: str = "mix",
 ) -> DataFrame:
-    """docs' columns and one more, `mix`: struct<epoch int, block long, place string>, for every copy used.
+    """docs' columns and one more, called name: struct<epoch int, block long, place string>, for every copy used.
 
-    A block holds about BLOCK rows of a permutation; place is the order within all of an epoch. Rows with equal ids in
-    one source are equally placed and cut together. A null source is a source; null texts have no tokens. An
-    empty table gives an empty one. An input column named `mix` is replaced.
+    A block holds about BLOCK rows; place is the order within all of an epoch: the block's place in the epoch's
+    permutation, then the row's in its block. Rows equal in id and text in one source are equally placed and cut
+    together. A null source is a source; null texts have no tokens; long texts are counted whole. An empty table
+    gives an empty one. An input column of that name is replaced.
 
     A partial epoch is cut exactly: sums over blocks find the block in which the quota ends, and running sums in
     this block find the last row. What joins with the table has one row for each source.
     """
     rows, quotas = mixture(docs, id_col=id_col, text_col=text_col, source_col=source_col, tokens=tokens, repeats=repeats, entropy=entropy, budget=budget)
-    place = _order(seed, F.col("whole"), F.col("id"))
-    unit = F.conv(F.substring("place", 1, 13), 16, 10).cast("double") / float(1 << 52)
-    last = (
-        rows.join(quotas.where("left > 0").select("key", "n", "whole", "left"), "key")
-        .withColumn("place", place)
-        .withColumn("block", F.floor(unit * F.ceil(F.col("n") / float(BLOCK))))
-    )
-    sums = last.groupBy("key", "block").agg(F.sum("tokens").alias("t"), F.first("left").alias("left"))
-    upto = Window.partitionBy("key").orderBy("block")
+    last = rows.join(quotas.where("left > 0").select("key", "n", "whole", "left"), "key").withColumn("block", _block(F.col("own"), F.col("n")))
+    sums = last.groupBy("key", "block").agg(F.sum("tokens").alias("t"), F.first("left").alias("left"), F.first("whole").alias("whole"))
+    sums = sums.withColumn("turn", _turn(seed, F.col("whole"), F.col("key"), F.col("block")))
+    upto = Window.partitionBy("key").orderBy("turn", "block")
     before = F.coalesce(F.sum("t").over(upto.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     # the block in which the quota ends, if the sum of the blocks up to it exceeds it
-    edge = written(sums.withColumn("before", before).where("before <= left and before + t > left").select("key", "block", "before"))
-    running = F.sum("tokens").over(Window.partitionBy("key").orderBy("place").rangeBetween(Window.unboundedPreceding, 0))
+    edge = written(sums.withColumn("before", before).where("before <= left and before + t > left").select("key", "block", "turn", "before"))
+    running = F.sum("tokens").over(Window.partitionBy("key").orderBy("own").rangeBetween(Window.unboundedPreceding, 0))
     inside = last.join(edge, ["key", "block"]).withColumn("sum", F.col("before") + running).where("sum <= left")
-    cut = inside.groupBy("key").agg(F.max("place").alias("cut_place"))
+    cut = inside.groupBy("key").agg(F.max("own").alias("cut_own"))
     plan = written(
-        quotas.join(edge.select("key", F.col("block").alias("edge_block")), "key", "left")
+        quotas.join(edge.select("key", F.col("block").alias("edge_block"), F.col("turn").alias("edge_turn")), "key", "left")
         .join(cut, "key", "left")
-        .select(F.col("key").alias("__key"), "n", "whole", "left", "edge_block", "cut_place")
+        .select(F.col("key").alias("__key"), "n", "whole", "left", "edge_block", "edge_turn", "cut_own")
     )
     key = F.concat(F.when(F.col(source_col).isNull(), F.lit("0")).otherwise("1"), F.coalesce(F.col(source_col).cast("string"), F.lit("")))
-    kept = [c for c in docs.columns if c != "mix"]
-    wide = docs.select(F.struct(*kept).alias("__row"), key.alias("__key"), F.col(id_col).alias("__id")).join(plan, "__key")
+    kept = [c for c in docs.columns if c != name]
+    wide = docs.select(F.struct(*kept).alias("__row"), key.alias("__key"), _own(F.col(id_col), F.col(text_col)).alias("__own")).join(plan, "__key")
     epochs = F.sequence(F.lit(0), F.when(F.col("left") > 0, F.col("whole")).otherwise(F.col("whole") - 1).cast("int"))
-    wide = wide.where("whole > 0 or left > 0").withColumn("__epoch", F.explode(epochs))
-    wide = wide.withColumn("place", _order(seed, F.col("__epoch"), F.col("__id"))).withColumn("block", F.floor(unit * F.ceil(F.col("n") / float(BLOCK))))
+    wide = wide.where("whole > 0 or left > 0").withColumn("__block", _block(F.col("__own"), F.col("n"))).withColumn("__epoch", F.explode(epochs))
+    wide = wide.withColumn("__turn", _turn(seed, F.col("__epoch"), F.col("__key"), F.col("__block")))
     taken = (
         (F.col("__epoch") < F.col("whole"))
         | F.col("edge_block").isNull()
-        | (F.col("block") < F.col("edge_block"))
-        | ((F.col("block") == F.col("edge_block")) & (F.col("place") <= F.col("cut_place")))
+        | (F.struct("__turn", "__block") < F.struct("edge_turn", "edge_block"))
+        | ((F.col("__block") == F.col("edge_block")) & (F.col("__own") <= F.col("cut_own")))
     )
-    return wide.where(taken).select("__row.*", F.struct(F.col("__epoch").alias("epoch"), "block", "place").alias("mix"))
+    place = F.concat("__turn", "__own")
+    return wide.where(taken).select("__row.*", F.struct(F.col("__epoch").alias("epoch"), F.col("__block").alias("block"), place.alias("place")).alias(name))

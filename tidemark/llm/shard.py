@@ -1,9 +1,10 @@
 """Sharding by proportional stratified interleaving, with DataFrame functions only.
 
-Within a source rows are ranked in a seeded random order; row r of n gets the fraction (2r - 1) / 2n. Sorted
-by fraction, every stretch of the table holds the sources in proportion, so cutting it into stretches of
-equal row counts makes shards of equal mixture. Ranks come from counts of small cells of the sort key and
-row numbers within a cell, so no source or sort is ever one task's.
+Within a source rows are ranked in a seeded random order; row r of n gets the fraction (r - u) / n, where u in
+(0, 1) is the source's own, so that many small sources do not all come at once. Sorted by fraction, every
+stretch of the table holds the sources in proportion, so cutting it into stretches of equal row counts makes
+shards of equal mixture. Ranks come from counts of small cells of the sort key and row numbers within a cell, so no
+source or sort is ever one task's.
 """
 
 from __future__ import annotations
@@ -70,9 +71,9 @@ def interleaved_shards(
 
     position runs from 0 without gaps over the interleaved table, shard is floor(position * shards / rows)
     and slot the position within the shard, so shards' row counts differ by one at most. A null source is
-    a source of its own; a null text has size 16 and the checksum of no bytes. Ties of the random order fall to
-    doc_id, then size and checksum; rows equal in all of these are interchangeable. Other columns are not
-    read, and an empty table has no rows.
+    a source of its own; a null text has size 16 and the checksum of no bytes; long texts are read whole. The random
+    order is of doc_id, size and checksum, so that rows without an id are spread like others; rows equal in all of
+    these are interchangeable. Other columns are not read, and an empty table has no rows.
     """
     text = F.coalesce(F.col(text_col), F.lit("")).cast("binary")
     base = docs.select(
@@ -83,12 +84,15 @@ def interleaved_shards(
     ).select(
         "*",
         F.concat(F.when(F.col("source").isNull(), F.lit("0")).otherwise("1"), F.coalesce("source", F.lit(""))).alias("__s"),
-        F.md5(F.concat_ws(":", F.lit(str(seed)), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))).cast("binary")).alias("__h"),
+        F.md5(F.concat_ws(":", F.lit(str(seed)), F.coalesce(F.col("doc_id").cast("string"), F.lit("")), "size", "text_crc32").cast("binary")).alias("__h"),
     )
     base = base.withColumn("__u", _unit(F.col("__h")))
+    phase = _unit(F.md5(F.concat_ws(":", F.lit(str(seed)), "__s").cast("binary")))
     strata = base.groupBy("__s").agg(F.count("*").alias("total"))
     ranked = numbered(base, "__s", "__u", ["__h", "doc_id", "size", "text_crc32"], "__r", strata)
-    ranked = ranked.withColumn("__f", (2 * F.col("__r") - 1) / (2.0 * F.col("total"))).drop("total")
+    ranked = ranked.withColumn("__f", (F.col("__r") - phase) / F.col("total").cast("double")).drop("total")
+    # (1 - u) / 1 may round to 1
+    ranked = ranked.withColumn("__f", F.least("__f", F.lit(1 - 2.0**-53)))
     placed = numbered(ranked, None, "__f", ["__f", "__s", "__r"], "__p", docs.count())
     position = F.col("__p") - 1
     shard = F.expr(f"(__p - 1) * {int(shards)} div total")
