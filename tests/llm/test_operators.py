@@ -75,6 +75,47 @@ def test_language_mixture(spark):
     assert langid.predict(docs(spark, []), model).count() == 0
 
 
+def test_mixtures_are_their_plain_version():
+    import pyarrow as pa
+
+    rng = random.Random(26)
+    langs = ["abcdef", "defghi", "xyzabc", "mnopqr"]
+    counts = np.zeros((langid.BUCKETS, 4))
+    for k, letters in enumerate(langs):
+        _, b = langid.trigrams(pa.array([words(rng, 3000, letters)]))
+        np.add.at(counts[:, k], b, 1)
+    model = langid.Model(list("abcd"), counts)
+    texts = [words(rng, 40, langs[0]), words(rng, 40, langs[1]) + " " + words(rng, 40, langs[2]), " ".join(words(rng, 60, x) for x in langs), "a b", words(rng, 300, langs[3])]
+    shares, sizes = model.infer(pa.array(texts))
+    p_all = model.table.astype(float)
+
+    def plain_em(p, start, steps):
+        share, loglik = start, 0.0
+        for _ in range(steps):
+            joint = p * share
+            loglik = np.log(joint.sum(axis=1)).sum()
+            share = (joint / joint.sum(axis=1, keepdims=True)).mean(axis=0)
+        return share, loglik
+
+    for t, got, n in zip(texts, shares, sizes, strict=True):
+        _, b = langid.trigrams(pa.array([t]))
+        p = p_all[b]
+        assert n == len(b)
+        full, _ = plain_em(p, np.full(4, 0.25), langid.STEPS)
+        order = np.argsort(-full, kind="stable")
+        best = None
+        for size in range(1, max(1, int((full >= langid.LEAST).sum())) + 1):
+            mask = np.zeros(4)
+            mask[order[:size]] = 1
+            start = np.maximum(full, 1e-6) * mask
+            share, loglik = plain_em(p, start / start.sum(), 1 if size == 1 else langid.STEPS // 2)
+            value = loglik - langid.PENALTY * size * np.log(max(n, 2)) / 2
+            if best is None or value > best[0]:
+                best = (value, share)
+        np.testing.assert_allclose(got, best[1], atol=1e-9)
+    assert (shares[1] > 0).sum() == 2 and (shares[2] > 0).sum() == 4
+
+
 # ---- 2 personal data
 
 EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
@@ -164,20 +205,53 @@ def test_top_k(spark):
     rows += [(2000, None, 0), (2001, [1.0, None] * 4, 0), (2002, [float("nan")] * 8, 0), (2003, [float("inf")] * 8, 0), (2100, [1.0, 2.0], 0), (2200, [1.0, 3.0], 0), (None, rows[3][1], 0), (7, rows[7][1], 0), (2300, [], 0)]
     frame = vectors(spark, rows).withColumn("rank", F.lit("clash"))
     got = defaultdict(list)
-    for r in topk.top_k(frame, frame.where("vec_id % 100 = 0"), 10).orderBy("query_id", "rank").collect():
+    for r in topk.top_k(frame, F.col("vec_id") % 100 == 0, 10).orderBy("query_id", "rank").collect():
         got[r.query_id].append((r.vec_id, r.score))
-    good = {k: np.floor(1024 * np.array(v, float)).astype(np.int64) for k, v, _ in rows if k is not None and v and all(x is not None and np.isfinite(x) for x in v)}
-    for q in [k for k in good if k % 100 == 0]:
-        want = sorted(((-int(v @ good[q]), k) for k, v in good.items() if k != q and len(v) == len(good[q])))[:10]
-        assert got.pop(q) == [(k, -s) for s, k in want]
+    good = [(k, np.floor(1024 * np.array(v, float)).astype(np.int64)) for k, v, _ in rows if k is not None and v and all(x is not None and np.isfinite(x) for x in v)]
+    for i, (q, x) in enumerate(good):
+        if q % 100 == 0:
+            want = sorted((-int(v @ x), k) for j, (k, v) in enumerate(good) if j != i and len(v) == len(x))[:10]
+            assert got.pop(q, []) == [(k, -s) for s, k in want]
     assert not got
-    assert topk.top_k(frame.where("false"), frame.where("false"), 10).count() == 0
+    assert topk.top_k(frame.where("false"), F.lit(True), 10).count() == 0
+
+
+def test_top_k_of_repeated_ids_and_many_copies(spark, monkeypatch):
+    monkeypatch.setattr(topk, "BLOCK_BYTES", 512)
+    monkeypatch.setattr(topk, "BLOCK_QUERIES", 3)
+    monkeypatch.setattr(topk, "CHUNK", 7)
+    rng = np.random.default_rng(17)
+    make = lambda: [float(np.float32(x)) for x in rng.normal(size=4)]
+    same = make()
+    rows = [(k % 90, make(), 0) for k in range(300)] + [(k, same, 0) for k in range(400, 700)] + [(400, same, 0), (400, make(), 0), (0, make(), 0)]
+    got = defaultdict(list)
+    for r in topk.top_k(vectors(spark, rows), F.col("vec_id") % 100 == 0, 5).collect():
+        got[r.query_id].append((r["rank"], -r.score, r.vec_id))
+    good = [(k, np.floor(1024 * np.array(v, float)).astype(np.int64)) for k, v, _ in rows]
+    want = defaultdict(list)
+    for i, (q, x) in enumerate(good):
+        if q % 100 == 0:
+            best = sorted((-int(v @ x), k) for j, (k, v) in enumerate(good) if j != i)[:5]
+            want[q] += [(n + 1, *b) for n, b in enumerate(best)]
+    assert {k: sorted(v) for k, v in got.items()} == {k: sorted(v) for k, v in want.items()}
+
+
+def test_bounds_hold():
+    rng = np.random.default_rng(18)
+    for scale in (1.0, 1e-3, 1e12, 1e200):
+        x = np.floor(1024 * scale * rng.standard_t(2, size=(500, 9)))
+        grid = topk.Grid(x.min(axis=0), x.max(axis=0))
+        low, high = grid.bounds(x[:50], grid.cells(x))
+        with np.errstate(over="ignore", invalid="ignore"):
+            score = x[:50] @ x.T
+        sure = np.isfinite(score)
+        assert (low[sure] <= score[sure]).all() and (score[sure] <= high[sure]).all()
 
 
 def test_top_k_beyond_double_precision(spark):
     rows = [(k, [2.0**40 + k, 2.0**41 - 3 * k], 0) for k in range(20)] + [(100, [2.0**41, -(2.0**40)], 0)]
     frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
-    got = topk.top_k(frame, frame.where("vec_id = 100"), 3).orderBy("rank").collect()
+    got = topk.top_k(frame, F.col("vec_id") == 100, 3).orderBy("rank").collect()
     good = {k: [int(1024 * x) for x in v] for k, v, _ in rows}
     want = sorted((-max(-(1 << 63), min((1 << 63) - 1, sum(a * b for a, b in zip(v, good[100])))), k) for k, v in good.items() if k != 100)[:3]
     assert [(r.vec_id, r.score) for r in got] == [(k, -s) for s, k in want]
@@ -206,15 +280,37 @@ def test_shards(spark, n):
     want = sorted((len((t or "").encode()) + 16) for _, t, _, _ in rows)
     assert sorted(r.size for r in got) == want
     # the order is that of fractional ranks in the seeded order
-    key = lambda r: (hashlib.md5(f"1:{"" if r.doc_id is None else r.doc_id}".encode()).hexdigest(), r.doc_id, r.size, r.text_crc32, r.position)
+    digest = lambda *x: hashlib.md5(":".join(map(str, x)).encode()).hexdigest()
+    key = lambda r: (digest(*[1, "" if r.doc_id is None else r.doc_id, r.size, r.text_crc32]), r.position)
     place = {}
     for source in {r.source for r in got}:
         own = sorted((r for r in got if r.source == source), key=key)
+        name = "0" if source is None else "1" + source
+        phase = int(digest(1, name)[:13], 16) / 2.0**52
         for k, r in enumerate(own):
-            place[r.position] = ((2 * k + 1) / (2.0 * len(own)), "0" if source is None else "1" + source)
+            place[r.position] = (min((k + 1 - phase) / len(own), 1 - 2.0**-53), name)
     assert [place[p] for p in sorted(place)] == sorted(place.values())
 
 
+def test_shards_without_hot_cells(spark, monkeypatch):
+    monkeypatch.setattr(shard, "CELL", 64)
+    # sources of one row each, and rows without an id in one source
+    rows = [(k, f"t{k}", None, f"s{k}") for k in range(3000)] + [(None, f"n{k}", None, "hot") for k in range(3000)]
+    base = docs(spark, rows)
+    got = shard.interleaved_shards(base, 40, seed=1)
+    out = got.collect()
+    assert sorted(r.position for r in out) == list(range(6000))
+    # the places of single rows, and of the rows of a source without ids, are spread over all shards
+    for of in (lambda r: r.source != "hot", lambda r: r.source == "hot"):
+        per = np.bincount([r.shard for r in out if of(r)], minlength=40)
+        assert per.min() > 30 and per.max() < 140
+    # no cell of either numbering holds many rows
+    h = [int(hashlib.md5(f"1::{r.size}:{r.text_crc32}".encode()).hexdigest()[:13], 16) / 2.0**52 for r in out if r.doc_id is None]
+    assert np.bincount(np.floor(np.array(h) * (3000 / 64)).astype(int)).max() < 130
+    phases = [1 - int(hashlib.md5(f"1:1{r.source}".encode()).hexdigest()[:13], 16) / 2.0**52 for r in out if r.source != "hot"]
+    assert np.bincount(np.floor(np.array(phases) * (6000 / 64)).astype(int)).max() < 100
+
+
 # ---- 6 near-duplicates
 
 
@@ -255,7 +351,7 @@ def test_near_duplicates(spark):
     frame = docs(spark, [*rows, rows[10], (None, "no id")]).withColumn("bucket", F.lit("clash")).withColumn("n", F.lit(1))
     sets, want = plain_components(rows)
     got = minhash.near_duplicates(frame).collect()
-    assert len(got) == len(rows) + 2
+    assert len(got) == len(rows) + 2  # a repeated row has a result of its own
     for r in got:
         if r.doc_id is None:
             assert r.kept and r.component_id is None and r.n_shingles == 1
@@ -264,6 +360,56 @@ def test_near_duplicates(spark):
     assert minhash.near_duplicates(docs(spark, [])).count() == 0
 
 
+def changed(rng, w, share):
+    return [words(rng, 1) if rng.random() < share else x for x in w]
+
+
+@pytest.mark.parametrize("four", [2, 4])
+def test_near_duplicates_of_an_id_with_two_texts(spark, four):
+    rng = random.Random(19)
+    a, b = words(rng, 150), words(rng, 150)
+    near = lambda t: t + " more"
+    rows = [(1, a), (1 if four == 2 else 4, b), (2, near(a)), (3, near(b))]
+    got = sorted((r.doc_id, r.n_shingles, r.component_id, r.kept) for r in minhash.near_duplicates(docs(spark, rows)).collect())
+    if four == 2:
+        assert got == [(1, 146, 1, True), (1, 146, 1, True), (2, 147, 1, False), (3, 147, 1, False)]
+    else:
+        assert got == [(1, 146, 1, True), (2, 147, 1, False), (3, 147, 3, True), (4, 146, 3, False)]
+
+
+def test_near_duplicates_without_ids(spark):
+    rng = random.Random(20)
+    a, b = words(rng, 150), words(rng, 150)
+    rows = [(None, a), (7, a + " x"), (None, b), (None, b + " x"), (None, ""), (None, None)]
+    got = sorted((r.doc_id or -1, r.component_id or -1, r.kept) for r in minhash.near_duplicates(docs(spark, rows)).collect())
+    assert got == [(-1, -1, True)] * 4 + [(-1, 7, False), (7, 7, True)]
+    kept = minhash.representatives(docs(spark, rows)).collect()
+    assert sorted(r.text or "" for r in kept)[:2] == ["", ""] and len(kept) == 4 and sum(r.doc_id == 7 for r in kept) == 1
+    twice = docs(spark, [(1, a), (1, a), (1, b), (2, b), (3, None), (3, None)]).withColumn("h", F.lit(1)).withColumn("again", F.lit("x"))
+    kept = minhash.representatives(twice)
+    assert kept.columns == twice.columns and sorted((r.doc_id, r.text or "") for r in kept.collect()) == sorted([(1, a), (1, b), (3, "")])
+
+
+def test_near_duplicates_in_a_large_group(spark):
+    rng = random.Random(21)
+    base = words(rng, 90).split()
+    rows = [(k, " ".join(changed(rng, base, rng.choice([0, 0.01, 0.02, 0.04, 0.08])))) for k in range(400)]
+    rows += [(1000 + k, words(rng, 90)) for k in range(50)]
+    sets, want = plain_components(rows)
+    got = {r.doc_id: r for r in minhash.near_duplicates(docs(spark, rows)).collect()}
+    assert len(set(want.values())) > 55  # the group falls into one large component and many of one
+    assert {k: r.component_id for k, r in got.items()} == want and all(got[k].n_shingles == len(sets[k]) for k in sets)
+
+
+def test_bitmaps_bound_intersections():
+    rng = np.random.default_rng(22)
+    sets = [np.unique(rng.integers(0, 5000, n, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) for n in (0, 1, 100, 3000, 3000)]
+    bits = [np.unpackbits(x.view(np.uint8)).astype(bool) for x in minhash.bitmaps(sets)]
+    for a, x in zip(sets, bits, strict=True):
+        for b, y in zip(sets, bits, strict=True):
+            assert len(np.intersect1d(a, b)) <= len(a) - (x & ~y).sum()
+
+
 def test_shingles_of_a_batch_are_those_of_each_text():
     import pyarrow as pa
 
@@ -298,15 +444,46 @@ def test_mixing(spark):
     assert 0 <= 2 * tokens["c"] - used["c"] <= 9
     power = mixing.exponent_for_repeats(tokens["hot"], tokens["c"], 2.0)
     assert abs(tokens["b"] * (tokens["hot"] / tokens["b"]) ** (1 - power) - used["b"]) <= 10
-    # a partial epoch is a prefix of its permutation
-    second = [r for r in got if r.source == "b" and r.mix.epoch == 1]
-    order = sorted((hashlib.md5(f"29:1:{k}".encode()).hexdigest(), k) for k, _, _, s in rows if s == "b")
-    assert {r.doc_id for r in second} == {k for _, k in order[: len(second)]}
     small = mixing.mix(frame, repeats=2.0, budget=500).collect()
     assert sum(len((r.text or "").split()) for r in small) <= 500
     assert mixing.mix(docs(spark, []), repeats=2.0).count() == 0
 
 
+@pytest.mark.parametrize("budget", [None, 3000, 90000])
+def test_mixing_is_its_plain_version(spark, monkeypatch, budget):
+    import zlib
+
+    monkeypatch.setattr(mixing, "BLOCK", 16)
+    rng = random.Random(23)
+    rows = [(None if k % 50 == 0 else k, words(rng, rng.randint(1, 60)), None, rng.choices(["hot", "b", "c", None], [60, 20, 4, 2])[0]) for k in range(1500)]
+    tokens, counts = defaultdict(int), defaultdict(int)
+    for _, t, _, s in rows:
+        tokens[s] += len(t.split())
+        counts[s] += 1
+    power = mixing.exponent_for_repeats(max(tokens.values()), min(tokens.values()), 1.5)
+    total = sum(tokens.values())
+    raw = {s: (n / total) ** power for s, n in tokens.items()}
+    z = sum(raw.values())
+    size = max(tokens[s] / (raw[s] / z) for s in tokens) if budget is None else budget
+    digest = lambda *x: hashlib.md5(":".join(map(str, x)).encode()).hexdigest()
+    want = []
+    for s, n in tokens.items():
+        key = "0" if s is None else f"1{s}"
+        quota = int(raw[s] / z * size + 0.5)
+        blocks = -(-counts[s] // 16)
+        own = [(digest("" if k is None else k, zlib.crc32(t.encode()), len(t)), k, len(t.split())) for k, t, _, x in rows if x == s]
+        placed = [(int(int(o[:13], 16) / 2.0**52 * blocks), o, k, c) for o, k, c in own]
+        for epoch in range(quota // n + 1):
+            spent = epoch * n
+            for b, o, k, c in sorted(placed, key=lambda x, e=epoch: (digest(29, e, x[0], key), x[1])):
+                spent += c
+                if spent > quota:
+                    break
+                want.append((epoch, b, digest(29, epoch, b, key) + o, -1 if k is None else k))
+    got = [(r.mix.epoch, r.mix.block, r.mix.place, -1 if r.doc_id is None else r.doc_id) for r in mixing.mix(docs(spark, rows), repeats=1.5, budget=budget).collect()]
+    assert sorted(got) == sorted(want)
+
+
 def test_mixing_entropy(spark):
     s = spark.createDataFrame([("a", 900, 1), ("b", 90, 1), ("c", 10, 1)], "key string, tokens long, n long")
     want = 0.9
@@ -355,6 +532,12 @@ def test_near_vectors(spark, dim):
     assert embdedup.near_vectors(frame.where("false"), 0.95).count() == 0
 
 
+def test_near_vectors_of_an_id_with_two_vectors(spark):
+    rows = [(1, [1.0, 0.0, 0.0], 0), (1, [0.0, 1.0, 0.0], 0), (2, [1.0, 0.1, 0.0], 0), (3, [1.0, 0.0, 0.1], 0), (4, [0.1, 1.0, 0.0], 0), (0, [0.0, 0.0, 1.0], 0)]
+    got = sorted(tuple(r) for r in embdedup.near_vectors(vectors(spark, rows), 0.95).collect())
+    assert got == [(0, 0, 0, True), (1, 1, 1, True), (1, 2, 1, True), (2, 2, 1, False), (3, 2, 1, False), (4, 1, 1, False)]
+
+
 def test_near_vectors_over_many_intervals(spark, monkeypatch):
     monkeypatch.setattr(embdedup, "BLOCK_BYTES", 1 << 10)
     monkeypatch.setattr(embdedup, "LEAF", 32)
@@ -380,9 +563,14 @@ def test_quality(spark):
     assert 0 < len(model.rules) < 200
     odd = [(1000, None), (1001, ""), (1002, "a" * 100_000), (1001, "")]
     frame = docs(spark, [*rows, *odd]).withColumn("score", F.lit("clash")).withColumn("upper", F.lit(1))
-    got = quality.score(frame, model, keep=["score", "text"]).toDF("doc_id", "s", "clash", "text").collect()
-    assert len(got) == len(rows) + 4 and all(0 <= r.s <= 1 for r in got) and {r.clash for r in got} == {"clash"}
-    by = {r.doc_id: r.s for r in got}
+    scored = quality.score(frame, model)
+    assert scored.columns == ["doc_id", "score"]
+    got = scored.collect()
+    assert len(got) == len(rows) + 4 and all(0 <= r.score <= 1 for r in got)
+    by = {r.doc_id: r.score for r in got}
+    # a filter on the column scans a text once, as the column itself does
+    plan = frame.where(quality.score_column(F.col("text"), model) >= 0.7)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("split(") == 1
     assert np.mean([(by[k] >= 0.7) == bool(labels[k][1]) for k in range(400, 600)]) > 0.97
     # the compiled expression is the model
     stats = quality.statistics(F.col("text"))
@@ -393,6 +581,47 @@ def test_quality(spark):
     assert 0 < quality.score(docs(spark, rows[:1]), none).first().score < 1
 
 
+def test_statistics_are_their_plain_version(spark):
+    rng = random.Random(24)
+    texts = [None, "", " \n ", "Ab1! c|d", "x x y x x y", "#1 [a] {b}\n\nC?", *[" ".join(rng.choice(["Ab", "c.", "d|", "#", "7!", "é", "\n"]) for _ in range(rng.randint(1, 60))) for _ in range(60)]]
+    stats = quality.statistics(F.col("text"))
+    got = docs(spark, list(enumerate(texts))).select("doc_id", *[stats[n].alias(n) for n in quality.NAMES]).orderBy("doc_id").collect()
+    for r, t in zip(got, texts, strict=True):
+        t = t or ""
+        w = t.split()
+        per = lambda x, n: x / n if n else 0.0
+        count = lambda chars, t=t: sum(c in chars for c in t)
+        want = {
+            "mean_word": per(len(t) - len(w), len(w)),
+            "echoes": per(sum(a == b for a, b in zip(w, w[1:])), len(w)),
+            "echoes_of_two": per(sum(a == b for a, b in zip(w, w[2:])), len(w)),
+            "upper": per(sum(c.isupper() for c in t), len(t)),
+            "digits": per(count("0123456789"), len(t)),
+            "symbols": per(count("#$%&*+<=>@^_~{}[]\\/"), len(w)),
+            "bars": per(count("|"), len(w)),
+            "bangs": per(count("!?"), len(w)),
+            "stops": per(count(".,;:"), len(w)),
+            "lines": per(count("\n"), len(w)),
+        }
+        for name, x in want.items():
+            assert abs(r[name] - x) < 1e-12, (t, name)
+
+
+def test_rules_of_a_plain_problem():
+    rng = np.random.default_rng(25)
+    x = rng.uniform(size=(800, 3))
+    y = ((x[:, 0] > 0.5) & (x[:, 2] <= 0.4)).astype(float)
+    model = quality.fit_rules(x, y, np.ones(800))
+    assert ((model.predict(x) > 0.5) == (y > 0)).mean() > 0.98
+    # the weights meet the conditions of the lasso: gradients are the penalty where a weight is, and no larger elsewhere
+    rules = quality.tree_rules(x, y, np.ones(800))
+    z = np.unique(np.stack([r.holds(x) for r in rules], axis=1), axis=1).astype(float)[:, :20]
+    bias, weights = quality.lasso(z, y, np.ones(800), 0.01, steps=4000)
+    grad = z.T @ (1 / (1 + np.exp(-(bias + z @ weights))) - y) / 800
+    assert (np.abs(grad) <= 0.01 + 1e-4).all()
+    assert np.allclose(grad[weights != 0], -0.01 * np.sign(weights[weights != 0]), atol=1e-4)
+
+
 # ---- 10 BPE
 
 

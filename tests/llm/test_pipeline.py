@@ -80,6 +80,29 @@ def test_repeated_rows(spark):
     assert corpus_pipeline.keep_quality(spark, extra, SF).columns == extra.columns
 
 
+def test_columns_of_other_meaning_and_rows_without_ids(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").limit(40)
+    odd = docs.withColumn("mix", F.lit("mine")).withColumn("doc_id", F.expr("if(doc_id % 2 = 0, null, doc_id)"))
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        done = stage(spark, odd, SF)
+        assert done.schema == odd.schema, name
+        assert {r.mix for r in done.select("mix").collect()} <= {"mine"}, name
+    assert corpus_pipeline.drop_near_duplicates(spark, odd.unionByName(odd), SF).count() <= 40
+
+
+def test_tables_of_a_stage_go(spark):
+    from tidemark.llm.common import scratch, shared_dir, written
+
+    place = spark._jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark)}/tidemark")
+    left = lambda: {str(f.getPath()) for f in place.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(place)}
+    written(spark.range(3))
+    before = left()
+    with scratch(spark):
+        kept = written(corpus_pipeline.drop_near_duplicates(spark, spark.read.parquet(f"{SF}/documents.parquet"), SF), outlives=True)
+        assert len(left()) > len(before)
+    assert len(left() - before) == 1 and kept.count()
+
+
 def test_names():
     names = list(queries())
     assert [n.split("_")[0] for n in names] == [*[f"op{k}" for k in range(1, 11)], "pipeline"]
