@@ -15,13 +15,11 @@ REPEATS = 1.25
 
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the rule ensemble, fitted on the labels outside the held-out quarter, accepts."""
+    """Documents that the rule ensemble, fitted on the labels outside the held-out quarter, accepts, with all their
+    rows. Null and empty texts have one score like any text; without documents the model is a constant and nothing is left."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet").where(~langid.held_out(F.col("doc_id")))
     model = quality.fit(docs.select("doc_id", "text"), labels)
-    scored = quality.score(docs, model, keep=docs.columns)
-    places = [k for k in range(len(scored.columns)) if k >= 2]
-    named = scored.toDF("__id", "__score", *[f"__{k}" for k in places])
-    return named.where(F.col("__score") >= LEAST_QUALITY).select(*[F.col(f"__{k}").alias(c) for k, c in zip(places, docs.columns, strict=True)])
+    return docs.where(quality.score_column(F.col("text"), model) >= LEAST_QUALITY)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -37,12 +35,20 @@ def redact_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every document once, and documents of small sources again, up to REPEATS times their source."""
-    return mixing.mix(docs, repeats=REPEATS).select(docs.columns)
+    """Every document once, and documents of small sources again, up to REPEATS times their source.
+
+    A null source is a source; documents without words cost nothing and are used once if their source has no words at all, else
+    like the rest of it. No row goes, repeated ones included.
+    """
+    name = "mix"
+    while name in docs.columns:
+        name = f"_{name}"
+    return mixing.mix(docs, repeats=REPEATS, name=name).select(docs.columns)
 
 
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """doc_id, token ids and their number; the ids decode to the text."""
+    """doc_id, token ids and their number for every row, repeated ones included; the ids decode to the whole text, and null
+    and empty texts have none."""
     ids = bpe.encode(docs, public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
     return ids.select("doc_id", "ids", F.size("ids").cast("long").alias("n_tokens"))
 
