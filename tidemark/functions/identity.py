@@ -39,3 +39,9 @@ def derive(role: str, *parts: Column) -> Column:
 def device_id(store: Column, label: Column) -> Column:
     """A device's id, from its store and its label in it."""
     return derive("device", store, label)
+
+
+def ensure_utc(text: Column) -> Column:
+    """A time's text as a point in time; one without an offset is taken as UTC, whatever the session's zone. Null for no time."""
+    zoned = text.rlike(r"([zZ]|[+-]\d{2}(:?\d{2})?)$") & text.contains(":")
+    return F.coalesce(F.when(zoned, text.try_cast("timestamp")), F.when(~zoned, F.concat(F.trim(text), F.lit("Z")).try_cast("timestamp")), F.to_utc_timestamp(text.try_cast("timestamp_ntz").cast("timestamp"), F.current_timezone()))

@@ -5,22 +5,34 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.functions.binding import bound
 from tidemark.functions.identity import derive, device_id, iso
 from tidemark.operators.validation import ip_address
 
 
+def text_of(message: Column) -> Column:
+    """A message's bytes as text; bytes that are no UTF-8 are left out."""
+    shown = F.decode(message.cast("binary"), "UTF-8")
+    return F.when(F.is_valid_utf8(message.cast("string")), message.cast("string")).otherwise(F.translate(shown, "\ufffd", ""))
+
+
 def request_tokens(message: Column) -> Column:
     """The words of the request line; null if there are fewer than three."""
-    words = F.filter(F.split(F.get(F.split(message, "\r\n"), F.lit(0)), r"\s+"), lambda w: w != "")
-    return F.when(F.size(words) >= 3, words)
+    line = F.substring_index(message, "\r\n", 1)
+    return bound(F.filter(F.split(line, r"\s+"), lambda w: w != ""), lambda words: F.when(F.size(words) >= 3, words))
 
 
 def headers(message: Column) -> Column:
     """map of lower-case names to trimmed values; the last of a name wins, lines without a colon are skipped."""
-    lines = F.filter(F.slice(F.split(message, "\r\n"), 2, 1_000_000), lambda x: x.contains(":") & (F.trim(x) != ""))
+    lines = F.filter(F.slice(F.split(message, "\r\n"), 2, 1_000_000), lambda x: x.contains(":"))
     pairs = F.transform(lines, lambda x: F.struct(F.lower(F.trim(F.substring_index(x, ":", 1))).alias("k"), F.trim(x.substr(F.instr(x, ":") + 1, F.length(x))).alias("v")))
-    last = F.filter(pairs, lambda p, i: ~F.exists(F.slice(pairs, i + 2, F.size(pairs)), lambda q: q["k"] == p["k"]))
-    return F.map_from_entries(last)
+
+    def last_of_each(back: Column) -> Column:
+        # read backwards, the first of a name is its last
+        names = F.transform(back, lambda p: p["k"])
+        return bound(names, lambda ks: F.map_from_entries(F.filter(back, lambda p, i: F.array_position(ks, p["k"]) == i + 1)))
+
+    return bound(F.reverse(pairs), last_of_each)
 
 
 def device_label(from_header: Column) -> Column:
@@ -38,12 +50,19 @@ def via(header: Column) -> tuple[Column, Column]:
 
 def parse(messages: DataFrame, message: str = "message") -> DataFrame:
     """messages with method, headers, device_label, call_id, transport and source_ip; rows without a request line have
-    a null method."""
-    words = request_tokens(F.col(message))
-    out = messages.withColumn("method", F.upper(words[0])).withColumn("headers", headers(F.col(message)))
-    own = lambda k: F.element_at("headers", k)
-    transport, address = via(own("via"))
-    return out.withColumn("device_label", device_label(own("from"))).withColumn("call_id", own("call-id")).withColumn("transport", transport).withColumn("source_ip", address)
+    a null method. A message may be text or bytes."""
+
+    def read(h: Column) -> Column:
+        transport, address = via(F.element_at(h, "via"))
+        return F.struct(h.alias("headers"), device_label(F.element_at(h, "from")).alias("device_label"), F.element_at(h, "call-id").alias("call_id"), transport.alias("transport"), address.alias("source_ip"))
+
+    def both(text: Column) -> Column:
+        return F.struct(F.upper(request_tokens(text)[0]).alias("method"), bound(headers(text), read).alias("h"))
+
+    raw = F.col(message)
+    text = text_of(raw) if messages.schema[message].dataType.typeName() == "binary" else raw
+    out = messages.withColumn("__sip", bound(text, both))
+    return out.withColumns({"method": F.col("__sip.method"), **{c: F.col(f"__sip.h.{c}") for c in ("headers", "device_label", "call_id", "transport", "source_ip")}}).drop("__sip")
 
 
 def registrations(parsed: DataFrame, store: Column, observed_at: Column, trace: Column | None = None) -> DataFrame:

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from heapq import heappop, heappush
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -127,7 +128,12 @@ _MOVES = "shard string, kind string, device_id string, store_id string, source_e
 
 
 class Silence:
-    """The state of a shard: when each device was last seen, in first-seen order, and whether it is offline."""
+    """The state of a shard: when each device was last seen, and whether it is offline.
+
+    Times last seen wait in a heap, so that an event looks at those only that its time has passed. An entry that a
+    later event of its device made void is dropped when it comes up; one whose device is not registered yet is set
+    aside until it is.
+    """
 
     def __init__(self, threshold: int):
         self.limit = threshold * 1_000_000
@@ -135,42 +141,64 @@ class Silence:
         self.offline: set[str] = set()
         self.first: dict[str, int] = {}
         self.store: dict[str, str] = {}
+        self.due: list[tuple[int, str]] = []
+        self.aside: set[str] = set()
 
     def register(self, device: str, store: str) -> None:
         self.store[device] = store
+        if store and device in self.aside:
+            self.aside.discard(device)
+            heappush(self.due, (self.last[device], device))
 
     def see(self, seq: int, micros: int, device: str) -> Iterator[tuple[str, str, int | None]]:
         """(kind, device, silence) of what an event shows: first that its device is back, then who is silent."""
         self.last[device] = micros
         self.first.setdefault(device, seq)
+        self.aside.discard(device)
+        heappush(self.due, (micros, device))
         if device in self.offline:
             self.offline.discard(device)
             if self.store.get(device):
                 yield ONLINE, device, None
-        for other, then in self.last.items():
-            if other not in self.offline and micros - then > self.limit and self.store.get(other):
-                self.offline.add(other)
-                yield OFFLINE, other, micros - then
+        silent = []
+        while self.due and micros - self.due[0][0] > self.limit:
+            then, other = heappop(self.due)
+            if self.last[other] != then or other in self.offline:
+                continue
+            if not self.store.get(other):
+                self.aside.add(other)
+                continue
+            self.offline.add(other)
+            silent.append((self.first[other], other, micros - then))
+        for _, other, length in sorted(silent):
+            yield OFFLINE, other, length
 
 
 def offline_general(events: DataFrame, registrations: DataFrame, threshold: int, *, shard: str = "shard") -> DataFrame:
     """The same for events that arrive out of time order, and devices that register late: a shard's events are followed
-    one by one. registrations: shard, arrival_seq, device_id, store_id; one is known to the event of its arrival."""
+    one by one, in sorted partitions and a batch at a time. registrations: shard, arrival_seq, device_id, store_id; one
+    is known to the event of its arrival. A shard's state has an entry a device."""
     rows = events.where("device_id is not null").select(F.col(shard).alias("shard"), "arrival_seq", F.lit(1).alias("k"), F.unix_micros("event_timestamp").alias("us"), "event_id", "device_id", F.lit(None).cast("string").alias("store_id"), "trace_id")
     facts = registrations.select(F.col(shard).alias("shard"), "arrival_seq", F.lit(0).alias("k"), F.lit(None).cast("long").alias("us"), F.lit(None).cast("string").alias("event_id"), "device_id", "store_id", F.lit(None).cast("string").alias("trace_id"))
-
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        state, out = Silence(threshold), []
-        for r in pdf.sort_values(["arrival_seq", "k"]).itertuples():
-            if r.k == 0:
-                state.register(r.device_id, r.store_id)
-                continue
-            for kind, device, silent in state.see(r.arrival_seq, int(r.us), r.device_id):
-                out.append((r.shard, kind, device, state.store[device], r.event_id, pd.Timestamp(int(r.us), unit="us"), silent, r.trace_id, r.arrival_seq, state.first[device]))
-        names = [c.split()[0] for c in _MOVES.split(", ")]
-        return pd.DataFrame(out, columns=names).astype({"silent_us": "Int64"})
-
-    return _offline_rows(rows.unionByName(facts).groupBy("shard").applyInPandas(run, _MOVES), threshold)
+    schema = pa.schema([("shard", pa.string()), ("kind", pa.string()), ("device_id", pa.string()), ("store_id", pa.string()), ("source_event_id", pa.string()), ("at", pa.timestamp("us", "UTC")), ("silent_us", pa.int64()), ("trace_id", pa.string()), ("arrival_seq", pa.int64()), ("first_seen", pa.int64())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        name, state = None, Silence(threshold)
+        for batch in batches:
+            out = []
+            for own, seq, k, us, event, device, store, trace in zip(*[c.to_pylist() for c in batch.columns], strict=True):
+                if own != name:
+                    name, state = own, Silence(threshold)
+                if k == 0:
+                    state.register(device, store)
+                    continue
+                for kind, other, silent in state.see(seq, us, device):
+                    out.append((own, kind, other, state.store[other], event, us, silent, trace, seq, state.first[other]))
+            if out:
+                yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in out], f.type) for k, f in enumerate(schema)], schema=schema)
+
+    dealt = rows.unionByName(facts).repartition("shard").sortWithinPartitions("shard", "arrival_seq", "k")
+    return _offline_rows(dealt.mapInArrow(run, _MOVES), threshold)
 
 
 def with_store(events: DataFrame, registrations: DataFrame) -> DataFrame:

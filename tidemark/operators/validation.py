@@ -7,6 +7,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.functions.binding import bound
 from tidemark.operators.watermark import seconds
 
 #: Required fields and the grammars of names and versions.
@@ -90,16 +91,22 @@ def ipv4(value: Column) -> Column:
 def ip_address(value: Column) -> Column:
     """IPv4, or IPv6 in any of its forms; null passes."""
     four = r"(25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)(\.(25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)){3}"
-    chars = value.rlike(rf"^[0-9A-Fa-f:]*(:{four})?(%[^%]+)?$")
-    # an embedded IPv4 address stands for two groups
-    body = F.regexp_replace(F.regexp_replace(value, r"%.*$", ""), rf"{four}$", "0:0")
-    groups = F.split(body, ":")
-    sound = F.forall(groups, lambda g: F.length(g) <= 4)
-    gaps = F.size(F.split(body, "::")) - 1
-    filled = F.size(F.filter(groups, lambda g: g != ""))
-    full = (gaps == 0) & (filled == 8) & (F.size(groups) == 8)
-    short = (gaps == 1) & ~body.contains(":::") & (filled <= 7) & ~body.rlike("^:[^:]|[^:]:$")
-    return F.coalesce(ipv4(value) | (chars & sound & (full | short)), F.lit(True))
+
+    def six(v: Column) -> Column:
+        # an embedded IPv4 address stands for two groups
+        body = F.regexp_replace(F.regexp_replace(v, r"%.*$", ""), rf"{four}$", "0:0")
+        return v.rlike(rf"^[0-9A-Fa-f:]*(:{four})?(%[^%]+)?$") & bound(body, grouped)
+
+    def grouped(body: Column) -> Column:
+        groups = F.split(body, ":")
+        sound = F.forall(groups, lambda g: F.length(g) <= 4)
+        gaps = F.size(F.split(body, "::")) - 1
+        filled = F.size(F.filter(groups, lambda g: g != ""))
+        full = (gaps == 0) & (filled == 8) & (F.size(groups) == 8)
+        short = (gaps == 1) & ~body.contains(":::") & (filled <= 7) & ~body.rlike("^:[^:]|[^:]:$")
+        return sound & (full | short)
+
+    return bound(value, lambda v: v.isNull() | ipv4(v) | (v.contains(":") & six(v)))
 
 
 @dataclass(frozen=True)
@@ -188,31 +195,77 @@ CONTRACTS = [
 ]
 
 
-def payload_problems(payload: Column, contract: Contract) -> Column:
-    """field:problem of everything wrong with a JSON payload, unknown fields included, sorted."""
+def fields_of(text: Column) -> Column:
+    """A JSON object's fields as a map of texts, nested values as their JSON; null for what is no object."""
+    return F.from_json(text, "map<string,string>")
+
+
+def _payload_problems(fields: Column, contract: Contract) -> Column:
+    """The same of a payload's fields, a bound map."""
     found = []
     for name, f in sorted(contract.fields.items()):
-        bad = f.problem(F.get_json_object(payload, f"$.{name}"))
+        bad = bound(F.element_at(fields, name), f.problem)
         found.append(F.when(bad.isNotNull(), F.concat(F.lit(f"{name}:"), bad)))
     known = F.array(*[F.lit(n) for n in contract.fields])
-    extra = F.transform(F.array_except(F.coalesce(F.json_object_keys(payload), F.array().cast("array<string>")), known), lambda k: F.concat(k, F.lit(":unknown")))
+    keys = F.coalesce(F.map_keys(fields), F.array().cast("array<string>"))
+    extra = F.transform(F.array_except(keys, known), lambda k: F.concat(k, F.lit(":unknown")))
     return F.array_sort(F.concat(F.array_compact(F.array(*found)), extra))
 
 
-def validate(events: DataFrame, raw: str = "raw") -> DataFrame:
-    """events(raw JSON) with problems, an array that is empty for a valid event: envelope, metadata, identity of the
-    contract, clock skew, and its payload's fields. Resolving a version to another is separate (see routing)."""
-    text = F.col(raw)
-    meta = {k: F.get_json_object(text, f"$.metadata.{k}") for k in METADATA}
-    payload = F.get_json_object(text, "$.payload")
+def payload_problems(payload: Column, contract: Contract) -> Column:
+    """field:problem of everything wrong with a JSON payload, unknown fields included, sorted."""
+    return bound(fields_of(payload), lambda fields: _payload_problems(fields, contract))
+
+
+def _problems(event: Column) -> Column:
+    """All that is wrong with an event's fields, a bound map of texts."""
+    meta = fields_of(F.element_at(event, "metadata"))
+    payload = fields_of(F.element_at(event, "payload"))
+    return bound(F.struct(meta.alias("m"), payload.alias("p")), lambda e: _checked(event, e["m"], e["p"]))
+
+
+def _checked(event: Column, meta: Column, payload: Column) -> Column:
+    kind, version, source = (F.element_at(meta, k) for k in METADATA)
+    has = F.coalesce(F.map_keys(event), F.array().cast("array<string>"))
+    falsy = lambda v: v.isNull() | v.isin("", "0", "0.0", "false", "[]", "{}")
+    lacking = F.filter(F.array(*[F.lit(k) for k in ENVELOPE]), lambda k: ~F.array_contains(has, k))
+    partial = F.array_compact(F.array(*[F.when(falsy(F.element_at(meta, k)), F.lit(f"metadata.{k}")) for k in METADATA]))
+    missing = F.concat(lacking, F.when(meta.isNull(), F.array(F.lit("metadata"))).otherwise(partial))
     own = F.lit(None).cast("array<string>")
     for c in CONTRACTS:
-        own = F.when((meta["event_type"] == c.event_type) & (meta["schema_version"] == c.version), payload_problems(payload, c)).otherwise(own)
+        own = F.when((kind == c.event_type) & (version == c.version), _payload_problems(payload, c)).otherwise(own)
+    shape = lambda v, pattern: ~F.coalesce(v.rlike(pattern), F.lit(True))
+    time = lambda k: F.element_at(event, k).try_cast("timestamp")
     names = F.array_compact(F.array(
-        F.when(~F.coalesce(meta["event_type"].rlike(EVENT_TYPE), F.lit(True)), F.lit("metadata.event_type:pattern")),
-        F.when(~F.coalesce(meta["schema_version"].rlike(VERSION), F.lit(True)), F.lit("metadata.schema_version:pattern")),
-        F.when(~F.coalesce(meta["source"].rlike(NAME), F.lit(True)), F.lit("metadata.source:pattern")),
-        F.when(~within_skew(F.get_json_object(text, "$.event_timestamp").try_cast("timestamp"), F.get_json_object(text, "$.ingest_timestamp").try_cast("timestamp")), F.lit("event_timestamp:skew")),
+        F.when(shape(kind, EVENT_TYPE), F.lit("metadata.event_type:pattern")),
+        F.when(shape(version, VERSION), F.lit("metadata.schema_version:pattern")),
+        F.when(shape(source, NAME), F.lit("metadata.source:pattern")),
+        F.when(~within_skew(time("event_timestamp"), time("ingest_timestamp")), F.lit("event_timestamp:skew")),
     ))
-    lacking = F.transform(F.concat(missing_envelope(text), missing_metadata(text)), lambda k: F.concat(k, F.lit(":missing")))
-    return events.withColumn("problems", F.concat(lacking, names, F.coalesce(own, F.array(F.lit("metadata:unregistered")))))
+    told = F.transform(missing, lambda k: F.concat(k, F.lit(":missing")))
+    return F.concat(told, names, F.coalesce(own, F.array(F.lit("metadata:unregistered"))))
+
+
+def validate(events: DataFrame, raw: str = "raw") -> DataFrame:
+    """events(raw JSON) with problems, an array that is empty for a valid event: envelope, metadata, identity of the
+    contract, clock skew, and its payload's fields. The event, its metadata and its payload are each parsed once.
+    Resolving a version to another is separate (see resolved)."""
+    whole = F.coalesce(fields_of(F.col(raw)), F.create_map().cast("map<string,string>"))
+    return events.withColumn("problems", bound(whole, _problems))
+
+
+def resolved(events: DataFrame, catalog, raw: str = "raw") -> DataFrame:
+    """Raw events resolved to a registered version and validated as one step: events with event_type, schema_version,
+    resolved (the least registered version that is compatible and not lower) and problems.
+
+    An event is checked against the contract it resolves to. That its metadata names this very contract is part of
+    the check: metadata:identity stands for a version that only resolves to it, metadata:unregistered for none at all.
+    """
+    told = events.withColumn("__m", fields_of(F.get_json_object(F.col(raw), "$.metadata")))
+    named = told.withColumns({"event_type": F.element_at("__m", "event_type"), "schema_version": F.element_at("__m", "schema_version")}).drop("__m")
+    wanted = named.select("event_type", F.col("schema_version").alias("version")).where("event_type is not null and version is not null").distinct()
+    found = catalog.resolve(wanted).select("event_type", F.col("version").alias("schema_version"), "resolved")
+    both = validate(named.join(found, ["event_type", "schema_version"], "left"), raw)
+    odd = F.col("resolved").isNotNull() & (F.col("resolved") != F.col("schema_version"))
+    other = F.transform("problems", lambda p: F.when(p == "metadata:unregistered", "metadata:identity").otherwise(p))
+    return both.withColumn("problems", F.when(odd, other).otherwise(F.col("problems")))

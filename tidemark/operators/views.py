@@ -31,6 +31,22 @@ def active_outages(detections: DataFrame) -> DataFrame:
     return _last(detections, ["store_id"], [OUTAGE, RECOVERED]).where(F.col("detection_type") == OUTAGE).select("store_id", iso(F.col("detected_at")).alias("since"))
 
 
+def active_outage_count(outages: DataFrame) -> DataFrame:
+    """One row: the number of stores in outage."""
+    return outages.agg(F.count("*").alias("active_outages"))
+
+
+def stores_in_outage(outages: DataFrame) -> DataFrame:
+    """The stores in outage, in order."""
+    return outages.select("store_id").orderBy("store_id")
+
+
+def is_in_outage(stores: DataFrame, outages: DataFrame) -> DataFrame:
+    """stores (store_id) with in_outage."""
+    marks = outages.select("store_id", F.lit(True).alias("in_outage"))
+    return stores.join(marks, "store_id", "left").withColumn("in_outage", F.coalesce("in_outage", F.lit(False)))
+
+
 def anomaly_buckets(detections: DataFrame) -> DataFrame:
     """(signal_name, bucket, detection_ids): anomalies of the whole fleet by signal and minute; without a signal they are ignored."""
     own = detections.where(F.col("detection_type") == ANOMALY).withColumn("signal_name", F.get_json_object("details", "$.signal_name"))

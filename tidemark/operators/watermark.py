@@ -76,6 +76,14 @@ def extract_key(events: DataFrame, key: Column, pattern: str | None = None) -> t
     return keyed.where(good), keyed.where(~good | F.col("partition_key").isNull()).drop("partition_key").withColumn("extraction_failed", F.lit(True))
 
 
+def checked_key(key: Column, pattern: str | None = None) -> Column:
+    """The key, or an error that ends the query: for callers to whom an empty or malformed key is a broken contract."""
+    good = key.isNotNull() & (key != "")
+    if pattern:
+        good = good & key.rlike(pattern)
+    return F.when(F.coalesce(good, F.lit(False)), key).otherwise(F.raise_error(F.concat(F.lit("no partition key: "), F.coalesce(key, F.lit("null")))))
+
+
 def batch_summary(classified: DataFrame, failures: DataFrame) -> DataFrame:
     """One row of counts of a batch."""
     kinds = [F.count_if(F.col("classification") == k).alias(k) for k in (ON_TIME, TOLERATED, DROPPED)]

@@ -35,12 +35,20 @@ class Geometry:
 
 @dataclass(frozen=True)
 class Aggregation:
-    """A name and a value over a window of rows: over(frame) for running values, plain() for final ones."""
+    """A name and a value over a window of rows: over(frame) for running values, plain() for final ones.
+
+    mark, if given, makes a helper column from a key and window's partition columns and the order of arrival; over
+    reads it as __mark_<name>. A fold has no running form: items are listed once a window, and value makes its
+    value of the items up to a closure or repair.
+    """
 
     name: str
     plain: Callable[[], Column]
-    over: Callable[[object], Column]
+    over: Callable[[object], Column] | None
     integral: bool = False
+    mark: Callable[[list[str], str], Column] | None = None
+    items: Column | None = None
+    value: Callable[[Column], Column] | None = None
 
 
 def _windowed(name: str, make: Callable[[], Column], integral: bool = False) -> Aggregation:
@@ -56,8 +64,13 @@ def total(column: str, name: str = "sum") -> Aggregation:
 
 
 def distinct(column: str, name: str = "distinct") -> Aggregation:
-    """An exact distinct count; its running form keeps the set of a window's values."""
-    return Aggregation(name, lambda: F.count_distinct(F.col(column)), lambda w: F.size(F.collect_set(F.col(column)).over(w)).cast("long"), True)
+    """An exact distinct count; its running form counts the first arrivals of values, and keeps no set."""
+
+    def first(keys: list[str], seq: str) -> Column:
+        place = F.row_number().over(Window.partitionBy(*keys, column).orderBy(seq))
+        return ((place == 1) & F.col(column).isNotNull()).cast("long")
+
+    return Aggregation(name, lambda: F.count_distinct(F.col(column)), lambda w: F.sum(F.col(f"__mark_{name}")).over(w), True, mark=first)
 
 
 def mean(column: str, name: str = "mean") -> Aggregation:
@@ -67,10 +80,11 @@ def mean(column: str, name: str = "mean") -> Aggregation:
 
 
 def fold(name: str, column: str, initial: Column, combine: Callable[[Column, Column], Column], finalise: Callable[[Column], Column], order: str = "arrival_seq") -> Aggregation:
-    """Any fold over contributions in arrival order, as expressions."""
+    """Any fold over contributions in arrival order, as expressions. A window's contributions are listed once, and
+    folded once for its closure and for each repair."""
     items = F.struct(F.col(order).alias("o"), F.col(column).alias("x"))
     run = lambda xs: F.aggregate(F.transform(F.array_sort(xs), lambda s: s["x"]), initial, combine, finalise)
-    return Aggregation(name, lambda: run(F.collect_list(items)), lambda w: run(F.collect_list(items).over(w)))
+    return Aggregation(name, lambda: run(F.collect_list(items)), None, items=items, value=run)
 
 
 def changelog(
@@ -118,11 +132,13 @@ def changelog(
         later = Window.partitionBy("__key").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
         probed = both.withColumn("__j", F.min("__tick").over(later)).where("__probe and __j is not null")
     flat = probed.select("__key", "__j", F.col("__row.__w.start").alias("window_start"), F.col("__row.__w.end").alias("window_end"), "__row.*").drop("__w")
+    marks = {f"__mark_{a.name}": a.mark(["__key", "window_start"], seq) for a in aggregations if a.mark}
+    flat = flat.withColumns(marks) if marks else flat
     cell = Window.partitionBy("__key", "window_start").orderBy(seq)
     upto = cell.rowsBetween(Window.unboundedPreceding, 0)
     running = flat.select(
         F.col("__key").alias(key), "window_start", "window_end", "__j", F.col(seq).alias("__seq"), "classification",
-        *[a.over(upto).alias(a.name) for a in aggregations],
+        *[a.over(upto).alias(a.name) for a in aggregations if a.over],
         F.count(F.lit(1)).over(upto).alias("event_count"),
         (F.col(trace) if trace else F.lit(None).cast("string")).alias("last_contributing_trace_id"),
         F.greatest(F.col("__j"), F.min(seq).over(upto)).alias("__close"),
@@ -132,9 +148,15 @@ def changelog(
     repairs = F.col("__seq") > F.col("__close")
     if given:
         repairs = repairs & (F.col("classification") == TOLERATED)
+    kept = running.where(closes | repairs)
+    folds = [a for a in aggregations if a.items is not None]
+    if folds:
+        lists = flat.groupBy(F.col("__key").alias(key), "window_start").agg(*[F.collect_list(F.struct(F.col(seq).alias("s"), a.items.alias("i"))).alias(f"__list_{a.name}") for a in folds])
+        kept = kept.join(lists, [key, "window_start"])
+        upto_it = lambda a: F.transform(F.filter(f"__list_{a.name}", lambda x: x["s"] <= F.col("__seq")), lambda x: x["i"])
+        kept = kept.withColumns({a.name: a.value(upto_it(a)) for a in folds})
     return (
-        running.where(closes | repairs)
-        .withColumn("is_repair", F.col("__seq") > F.col("__close"))
+        kept.withColumn("is_repair", F.col("__seq") > F.col("__close"))
         .withColumn("arrival_seq", F.greatest("__seq", "__close"))
         .select(key, "window_start", "window_end", *names, "event_count", "is_repair", "last_contributing_trace_id", "arrival_seq")
     )

@@ -11,6 +11,35 @@ from pyspark.sql import functions as F
 END = b"\r\n\r\n"
 
 
+def with_event_ids(events: DataFrame, ids: Column | None, preserve: bool = True) -> DataFrame:
+    """Events as they are emitted: with their own event_id, or, unless they are to be preserved, with ids (an expression
+    over the event) where it is given."""
+    return events if preserve or ids is None else events.withColumn("event_id", ids)
+
+
+def lifecycle(packets: DataFrame, found: DataFrame, parsed: DataFrame) -> DataFrame:
+    """(hook, subject, at, count, detail): what an observer of the parser is told, as rows.
+
+    session_start and session_end a session, packet_dropped and message_reconstructed a flow and message (found:
+    messages()), parse_error and event_emitted for each parsed message (flow, reason, event_id, observed_at).
+    """
+    hook = lambda df, name, subject, at, count, detail: df.select(F.lit(name).alias("hook"), subject.cast("string").alias("subject"), at.cast("timestamp").alias("at"), count.cast("long").alias("count"), detail.cast("string").alias("detail"))
+    seen, none = sessions(packets), F.lit(None)
+    length = (F.unix_micros("last_seen") - F.unix_micros("first_seen")) / 1_000_000
+    parts = [
+        hook(seen, "session_start", F.col("session"), F.col("first_seen"), F.col("packets"), none),
+        hook(seen.where("closed"), "session_end", F.col("session"), F.col("last_seen"), F.col("packets"), length),
+        hook(found.where("dropped > 0"), "packet_dropped", F.col("flow"), none, F.col("dropped"), F.lit("retransmission")),
+        hook(found.where("message is not null"), "message_reconstructed", F.col("flow"), F.col("observed_at"), F.octet_length("message"), none),
+        hook(parsed.where("reason is not null"), "parse_error", F.col("flow"), F.col("observed_at"), F.lit(1), F.col("reason")),
+        hook(parsed.where("reason is null"), "event_emitted", F.col("event_id"), F.col("observed_at"), F.lit(1), F.lit("sip.registration")),
+    ]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
 def session_key(src_ip: Column, src_port: Column, dst_ip: Column, dst_port: Column) -> Column:
     """The same for both directions: the lesser endpoint first, addresses compared as text."""
     a, b = F.struct(src_ip.alias("ip"), src_port.alias("port")), F.struct(dst_ip.alias("ip"), dst_port.alias("port"))
@@ -53,18 +82,26 @@ class Flow:
 
     def frame(self, at: object, data: bytes) -> Iterator[tuple[object, bytes]]:
         """(time of the first byte, message with its terminator) of the messages that data completes."""
+        # a terminator that data completes begins in its last bytes at the earliest
+        look = max(0, len(self.buffer) - len(END) + 1)
         self.marks.append((len(self.buffer), at))
         self.buffer += data
-        start = 0
-        while (end := self.buffer.find(END, start)) >= 0:
-            first = max(k for k, (offset, _) in enumerate(self.marks) if offset <= start)
-            yield self.marks[first][1], bytes(self.buffer[start : end + len(END)])
-            start = end + len(END)
+        start, mark = 0, 0
+        while (end := self.buffer.find(END, look)) >= 0:
+            mark = self._mark(mark, start)
+            yield self.marks[mark][1], bytes(self.buffer[start : end + len(END)])
+            start = look = end + len(END)
         if start:
-            kept = max(k for k, (offset, _) in enumerate(self.marks) if offset <= start)
-            self.marks = [(max(0, offset - start), t) for offset, t in self.marks[kept:]] if start < len(self.buffer) else []
+            mark = self._mark(mark, start)
+            self.marks = [(max(0, offset - start), t) for offset, t in self.marks[mark:]] if start < len(self.buffer) else []
             del self.buffer[:start]
 
+    def _mark(self, mark: int, start: int) -> int:
+        """The last mark at or before start, from mark on: marks and messages both go forward."""
+        while mark + 1 < len(self.marks) and self.marks[mark + 1][0] <= start:
+            mark += 1
+        return mark
+
 
 CHUNKS = "flow string, position long, timestamp timestamp, data binary"
 MESSAGES = "flow string, position long, observed_at timestamp, message binary, stranded_segments long, stranded_bytes long, dropped long"

@@ -27,6 +27,7 @@ class Result:
     detections: DataFrame | None = None
     alerts: DataFrame | None = None
     summary: DataFrame | None = None
+    dispatched: DataFrame | None = None
     observer_errors: dict[str, str] = field(default_factory=dict)
 
     def nested(self) -> DataFrame:
@@ -45,8 +46,10 @@ class Result:
 class Pipeline:
     """Register window aggregations, detectors and an alert router; run() declares all results lazily."""
 
-    def __init__(self, settings: Settings, key: Column, router: Router | None = None, strict: bool = False) -> None:
+    def __init__(self, settings: Settings, key: Column, router: Router | None = None, strict: bool = False, *, span: int | None = None, stretch: int | None = None) -> None:
+        """span and stretch spread hot keys over tasks, in watermarks and in windows (see there); results are the same."""
         self.settings, self.key, self.strict, self.router = settings, key, strict, router
+        self.span, self.stretch = span, stretch
         self._windows: dict[str, tuple[windows.Geometry, list[windows.Aggregation]]] = {}
         self._event: dict[str, Callable[[DataFrame], DataFrame]] = {}
         self._emission: dict[str, tuple[str, Callable[[DataFrame], DataFrame]]] = {}
@@ -81,11 +84,11 @@ class Pipeline:
     def run(self, events: DataFrame) -> Result:
         late = self.settings.late_event_tolerance_seconds
         keyed, failures = watermark.extract_key(events, self.key)
-        classified = watermark.with_watermark(keyed, late)
+        classified = watermark.with_watermark(keyed, late, span=self.span)
         out = Result(classified, failures, summary=watermark.batch_summary(classified, failures))
         vectors, found = [], []
         for name, (geometry, aggregations) in self._windows.items():
-            wide = windows.changelog(classified, geometry, aggregations, late)
+            wide = windows.changelog(classified, geometry, aggregations, late, stretch=self.stretch)
             out.changelogs[name] = wide
             for k, a in enumerate(aggregations):
                 out.emissions[a.name] = windows.emissions(wide, a.name, ordinal=k)
@@ -102,7 +105,7 @@ class Pipeline:
                 out.observer_errors[name] = repr(e)
 
         if self.router is not None:
-            _, _, errors = self.router.dispatch(classified, strict=self.strict)
+            out.dispatched, _, errors = self.router.dispatch(classified, strict=self.strict)
             out.observer_errors |= {"/".join(map(str, k)): e for k, e in errors.items()}
         for name, detector in self._event.items():
             observed(name, lambda d=detector: d(classified))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions import identity, jsonx, logs, sip, versions
@@ -12,7 +12,7 @@ from tidemark.operators import alerts, detectors, registries, routing, validatio
 from tidemark.plans import replay
 from tidemark.plans.pipeline import Pipeline
 from tidemark.settings import Settings
-from tidemark.sources import datasets
+from tidemark.sources import datasets, stores
 from tidemark.sources.events import jittered
 
 FLAGSHIP = "window_changelog"
@@ -284,10 +284,15 @@ def _requests(spark: SparkSession, d: str) -> DataFrame:
     return kinds.withColumn("version", F.explode(F.array(*[F.lit(v) for v in _VERSIONS])))
 
 
+def _kinds(spark: SparkSession, d: str) -> list[str]:
+    """The types that producers have: what a deployment registers is as long a list as its code."""
+    return sorted(r[0] for r in spark.read.parquet(f"{d}/events.parquet").select("event_type").distinct().collect())
+
+
 @query(_resolve_sql("<=", "arg_max", "matched_version").replace("SELECT event_type, version, matched_version FROM m", "SELECT event_type, version, matched_version, coalesce(matched_version <> version, FALSE) AS fell_back FROM m"))
 def router_resolve(spark, d):
     router = routing.Router()
-    for kind in ("click", "view", "purchase", "signup", "error", *[r[0] for r in spark.read.parquet(f"{d}/events.parquet").select("event_type").distinct().limit(100).collect()]):
+    for kind in _kinds(spark, d):
         for v in _KNOWN:
             router.register(kind, v, lambda df: df)
     return router.resolve(_requests(spark, d).withColumnRenamed("version", "schema_version")).select("event_type", F.col("schema_version").alias("version"), "matched_version", "fell_back")
@@ -295,8 +300,7 @@ def router_resolve(spark, d):
 
 @query(_resolve_sql(">=", "arg_min", "resolved"))
 def registry_resolve(spark, d):
-    kinds = [r[0] for r in spark.read.parquet(f"{d}/events.parquet").select("event_type").distinct().limit(100).collect()]
-    catalog = routing.Catalog({(k, v): v for k in kinds for v in _KNOWN})
+    catalog = routing.Catalog({(k, v): v for k in _kinds(spark, d) for v in _KNOWN})
     return catalog.resolve(_requests(spark, d)).select("event_type", "version", "resolved")
 
 
@@ -308,7 +312,7 @@ def router_dispatch(spark, d):
     def broken(df):
         raise ValueError("a handler that fails")
 
-    for kind in [r[0] for r in e.select("event_type").distinct().limit(100).collect()]:
+    for kind in _kinds(spark, d):
         router.register(kind, "v1", (lambda df: df) if kind < "m" else broken)
     told, _, _ = router.dispatch(e)
     return told.groupBy("matched_key", "handlers_invoked", "handler_failures").agg(F.count("*").alias("events"))
@@ -406,6 +410,28 @@ def validate_payload(spark, d):
     return validation.validate(spark.read.parquet(f"{d}/events.parquet").select("event_id", text.alias("raw"))).select("event_id", F.array_join("problems", ",").alias("problems"))
 
 
+@query("SELECT event_id, CASE WHEN event_id % 4 = 3 THEN NULL ELSE 'v1' END AS resolved, CASE event_id % 4 WHEN 0 THEN '' WHEN 1 THEN 'metadata:identity' WHEN 2 THEN 'metadata:identity' ELSE 'metadata:unregistered' END AS problems FROM events")
+def raw_resolved(spark, d):
+    """Raw events from text to a contract in one step: versions that are, or only resolve to, a registered one."""
+    i = F.col("event_id")
+    version = F.when(i % 4 == 0, "v1").when(i % 4 == 1, "v1.0").when(i % 4 == 2, "v1.0.0").otherwise("v2")
+    text = F.concat(
+        F.lit('{"metadata":{"event_type":"session.start","schema_version":"'), version, F.lit('","source":"edge"},"event_timestamp":"2026-01-01T00:00:00Z","trace":{},"payload":{"session_id":"11111111-1111-4111-8111-111111111111","actor_id":"11111111-1111-4111-8111-111111111111","started_at":"2026-01-01T00:00:00Z"}}'),
+    )
+    catalog = routing.Catalog({(c.event_type, c.version): c for c in validation.CONTRACTS})
+    rows = validation.resolved(spark.read.parquet(f"{d}/events.parquet").select("event_id", text.alias("raw")), catalog)
+    return rows.select("event_id", "resolved", F.array_join("problems", ",").alias("problems"))
+
+
+@query("SELECT event_id, ts AS at, ts AS plain FROM events")
+def ensure_utc(spark, d):
+    """Times with an offset and without one, whatever the session's zone."""
+    ts = F.col("ts").cast("timestamp")
+    shown = identity.iso(ts)
+    e = spark.read.parquet(f"{d}/events.parquet")
+    return e.select("event_id", ntz(identity.ensure_utc(shown)).alias("at"), ntz(identity.ensure_utc(F.replace(shown, F.lit("+00:00"), F.lit("")))).alias("plain"))
+
+
 # ---- registries ----------------------------------------------------------------------------------------
 
 _REG = f"{_E}, g AS (SELECT device, seq, 'store-' || CAST((CAST(device AS BIGINT) + CAST(id AS BIGINT) // 2000) % 10 AS VARCHAR) AS store FROM e WHERE CAST(id AS BIGINT) % 5 = 0)"
@@ -541,10 +567,16 @@ def offline_transitions(spark, d):
     return _offline_rows(detectors.offline_in_order(_ordered_devices(spark, d), SILENCE))
 
 
-@query(_OFFLINE_SQL)
+_FOLLOWED_CTE = f"""{_E}, n AS (SELECT *, lead(seq) OVER (PARTITION BY store, device ORDER BY seq) AS nx FROM e),
+    h AS (SELECT n.device AS dev, n.store, n.seq, n.ts, n.nx, min(x.seq) AS hit FROM n JOIN e x ON x.store = n.store AND x.seq > n.seq AND x.seq < coalesce(n.nx, 9223372036854775807) AND x.ts > n.ts + INTERVAL {SILENCE} SECOND GROUP BY ALL),
+    dt AS (SELECT 'device.offline' AS kind, dev, h.store, hit AS arr, x.id AS src, x.ts AS dts, 'no events for ' || CAST((epoch_us(x.ts) - epoch_us(h.ts)) // 1000000 AS VARCHAR) || 's (threshold {SILENCE}s)' AS txt FROM h JOIN e x ON x.seq = h.hit
+        UNION ALL SELECT 'device.online', dev, h.store, nx, x.id, x.ts, 'device reporting again after silence' FROM h JOIN e x ON x.seq = h.nx)"""
+
+
+@query(f"WITH {_FOLLOWED_CTE} SELECT {_OFFLINE_ID.replace('CAST(arr AS VARCHAR)', 'src')} AS detection_id, kind AS detection_type, dev AS device_id, store AS store_id, txt AS threshold_breached, dts AS detected_at, arr AS arrival_seq FROM dt")
 def offline_followed(spark, d):
-    """The same by following every event, as late arrivals need it."""
-    e = _ordered_devices(spark, d)
+    """Events that arrive up to three hours late, followed one by one in each store."""
+    e = jittered(spark, d).withColumn("shard", F.col("store_id"))
     facts = e.groupBy("shard", "device_id").agg(F.min("arrival_seq").alias("arrival_seq"), F.first("store_id").alias("store_id"))
     return _offline_rows(detectors.offline_general(e, facts, SILENCE))
 
@@ -595,6 +627,30 @@ def view_active_outage(spark, d):
     return views.active_outages(_outages(spark, d))
 
 
+@query(f"WITH {_OUTAGE_CTE}, l AS (SELECT k, arg_max(o, arr) AS o FROM oo GROUP BY k), s AS (SELECT DISTINCT 'store-' || CAST(user_id % 10 AS VARCHAR) AS store FROM events) SELECT store AS store_id, coalesce(o, FALSE) AS in_outage, (SELECT count(*) FROM l WHERE o) AS active_outages FROM s LEFT JOIN l ON l.k = store")
+def outage_reads(spark, d):
+    down = views.active_outages(_outages(spark, d))
+    stores_ = jittered(spark, d).select("store_id").distinct()
+    n = views.active_outage_count(down).first().active_outages
+    assert [r.store_id for r in views.stores_in_outage(down).collect()] == sorted(r.store_id for r in down.collect())
+    return views.is_in_outage(stores_, down).withColumn("active_outages", F.lit(n).cast("long"))
+
+
+_ENTRIES = "SELECT 'offline_count' AS view, 'store-' || CAST(user_id % 10 AS VARCHAR) AS key, event_id AS at, CASE WHEN event_id % 7 <> 0 THEN CAST(user_id AS VARCHAR) END AS value FROM events"
+
+
+@query(f"WITH x AS ({_ENTRIES}), l AS (SELECT *, row_number() OVER (PARTITION BY view, key ORDER BY at % 3 DESC, at DESC) AS r FROM x) SELECT view, key, value FROM l WHERE r = 1 AND value IS NOT NULL")
+def projection_store(spark, d):
+    """What a table of entries holds after three writes, the last two by a store opened anew: the last value of a key, or nothing."""
+    root = _scratch(spark)
+    e = spark.read.parquet(f"{d}/events.parquet")
+    value = F.when(F.col("event_id") % 7 != 0, F.col("user_id").cast("string"))
+    rows = e.select(F.lit("offline_count").alias("view"), F.concat(F.lit("store-"), (F.col("user_id") % 10).cast("string")).alias("key"), F.col("event_id").alias("at"), value.alias("value"))
+    for k in range(3):
+        stores.TableStore(spark, root).upsert(rows.where(F.col("at") % 3 == k), order="at")
+    return stores.TableStore(spark, root).read().select("view", "key", "value")
+
+
 _ANOMALY_BUCKETS = _anomaly_sql(3, "above", ">")
 
 
@@ -628,19 +684,37 @@ def dataset_partition_keys(spark, d):
 
 
 def _scratch(spark: SparkSession) -> str:
+    """A new folder that driver and executors share; a temporary one only in local mode without a setting."""
     import tempfile
     import uuid
 
-    root = spark.conf.get("spark.checkpoint.dir", None) or tempfile.gettempdir()
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        root = tempfile.gettempdir()
     return f"{root}/tidemark-datasets/{uuid.uuid4().hex}"
 
 
-@query(f"WITH {_OFFLINE_CTE} SELECT store AS store_id, strftime(dts, '%Y') AS year, strftime(dts, '%m') AS month, strftime(dts, '%d') AS day, count(*) AS detections FROM dt GROUP BY ALL")
+@query(f"WITH {_OFFLINE_CTE} SELECT store AS store_id, strftime(dts, '%Y') AS year, strftime(dts, '%m') AS month, strftime(dts, '%d') AS day, strftime(dts, '%H') AS hour, {_OFFLINE_ID} AS detection_id, kind AS detection_type, dev AS device_id, txt AS threshold_breached, dts AS event_timestamp, arr AS arrival_seq FROM dt")
 def dataset_roundtrip(spark, d):
+    """Every written detection as it is read back, with its folder's values."""
     root = _scratch(spark)
-    spark.conf.set("spark.sql.sources.partitionColumnTypeInference.enabled", "false")
     datasets.write_detections(_detections(spark, d), root)
-    return datasets.read(spark, root, "detections").groupBy("store_id", "year", "month", "day").agg(F.count("*").alias("detections"))
+    return datasets.read(spark, root, "detections").select("store_id", "year", "month", "day", "hour", "detection_id", "detection_type", "device_id", "threshold_breached", ntz("event_timestamp").alias("event_timestamp"), "arrival_seq")
+
+
+@query(f"""WITH {_changes(3600, 3600, base=_by_store())},
+m AS (SELECT store_id, hr, arr, row_number() OVER (PARTITION BY store_id, hr ORDER BY arr) - 1 AS sq FROM (SELECT DISTINCT k AS store_id, date_trunc('hour', ws) AS hr, arr FROM ch)),
+q AS (SELECT 'emissions' AS kind, k AS store_id, date_trunc('hour', ws) AS hr, arr FROM ch UNION ALL SELECT 'detections', store, date_trunc('hour', ts), seq FROM c WHERE CAST(id AS BIGINT) % 3 = 0)
+SELECT q.kind, q.store_id, q.hr AS hour, q.arr AS arrival_seq, min(m.arr) AS flushed_by, min(m.sq) AS sequence
+FROM (SELECT *, row_number() OVER () AS rn FROM q) q LEFT JOIN m ON m.store_id = q.store_id AND m.hr = q.hr AND m.arr >= q.arr GROUP BY q.rn, q.kind, q.store_id, q.hr, q.arr""")
+def dataset_flushes(spark, d):
+    """The flush that takes each record: every closure and repair, and for every third event a detection of its time."""
+    classed = watermark.with_watermark(jittered(spark, d).withColumn("partition_key", F.col("store_id")), LATE)
+    emitted = windows.emissions(windows.changelog(classed, TUMBLING, [windows.count("n")], LATE), "n")
+    found = classed.where(F.col("event_id").cast("long") % 3 == 0).select("store_id", "event_timestamp", "arrival_seq", F.lit(0).alias("ordinal"), F.col("event_id").alias("detection_id"))
+    return datasets.flush_plan({"emissions": emitted, "detections": found}).select("kind", "store_id", ntz("hour").alias("hour"), "arrival_seq", "flushed_by", "sequence")
 
 
 @query("SELECT event_id, value, CASE WHEN event_id % 2 = 0 THEN 0.97 END AS confidence FROM events")
@@ -654,19 +728,29 @@ def replay_window(spark, d):
     return jittered(spark, d).where(replay.window(F.lit("2024-01-10").cast("timestamp"), F.lit("2024-01-20").cast("timestamp"))).select("event_id")
 
 
-def _composed(spark: SparkSession, d: str, settings: Settings) -> DataFrame:
-    pipeline = Pipeline(settings, F.col("partition_key")).register_windows("hours", TUMBLING, [windows.count("signal_value")])
-    pipeline.register_emission_detector("anomaly", "signal_value", lambda e: detectors.anomalies(e, "events", 3, whole=True))
-    return pipeline.run(jittered(spark, d).drop("partition_key").withColumn("partition_key", F.col("trace_id") % 5).withColumn("partition_key", F.concat(F.lit("k-"), F.col("partition_key").cast("int").cast("string")))).detections
+@query(f"""WITH {_changes(3600, 3600, base=_C.replace("event_type AS k", "'k-' || CAST(event_id % 5 AS VARCHAR) AS k"))}, o AS (SELECT *, n > 3 AS hot, lag(n > 3, 1, FALSE) OVER (PARTITION BY k ORDER BY arr, ws, rep) AS was FROM ch)
+SELECT k AS store_id, ws AS window_start, n AS value, arr AS arrival_seq FROM o WHERE hot AND NOT was""")
+def replay_determinism(spark, d):
+    """Detections that a replay of an archive wrote to its own target, read back; the live target gets none of them."""
+    root = _scratch(spark)
+    jittered(spark, d).drop("partition_key").write.parquet(f"{root}/archive")
+    live = Settings(late_event_tolerance_seconds=LATE, dataset_root=f"{root}/live", replay_dataset_root=f"{root}/replayed")
+    keyed = F.concat(F.lit("k-"), (F.col("trace_id").cast("long") % 5).cast("string"))
 
+    def build(settings: Settings) -> Pipeline:
+        pipeline = Pipeline(settings, keyed).register_windows("hours", TUMBLING, [windows.count("signal_value")])
+        return pipeline.register_emission_detector("anomaly", "signal_value", lambda e: detectors.anomalies(e, "events", 3, whole=True))
+
+    replay.run_replay(live, spark.read.parquet(f"{root}/archive"), build)
+    back = datasets.read(spark, f"{root}/replayed", "detections")
+    return back.select("store_id", F.get_json_object("details", "$.window_start").try_cast("timestamp").cast("timestamp_ntz").alias("window_start"), F.get_json_object("details", "$.value").cast("long").alias("value"), "arrival_seq")
 
-@query("SELECT 0 AS different")
-def replay_determinism(spark, d):
-    """Rows that a live and a replay run of one pipeline do not share."""
-    live = Settings(late_event_tolerance_seconds=LATE)
-    a, b = _composed(spark, d, live), _composed(spark, d, live.for_replay())
-    odd = a.select("detection_id", "details").exceptAll(b.select("detection_id", "details")).unionByName(b.select("detection_id", "details").exceptAll(a.select("detection_id", "details")))
-    return odd.agg(F.count("*").cast("int").alias("different"))
+
+@query(f"WITH {_C} SELECT count(*) AS events, count(*) FILTER (cls = 'on_time') AS on_time, count(*) FILTER (cls = 'late_dropped') AS late_dropped, (SELECT count(*) FROM ({_anomaly_sql(3, 'above', '>')})) AS detections FROM c")
+def replay_summary(spark, d):
+    pipeline = Pipeline(Settings(late_event_tolerance_seconds=LATE), F.col("partition_key")).register_windows("hours", TUMBLING, [windows.count("signal_value")])
+    pipeline.register_emission_detector("anomaly", "signal_value", lambda e: detectors.anomalies(e, "events", 3, whole=True))
+    return replay.summary(pipeline.run(jittered(spark, d))).select("events", "on_time", "late_dropped", "detections")
 
 
 @query("SELECT * FROM (VALUES ('bigint', 'bigint'), ('boolean', 'boolean'), ('double', 'double'), ('array<int>', 'string'), ('decimal(10,2)', 'double')) t(given, stored)")
@@ -723,8 +807,11 @@ def sip_register_events(spark, d):
 
 
 def _packets(spark: SparkSession, d: str) -> DataFrame:
-    """Each message in three packets of its user's flow, the last two swapped, and the first sent twice."""
+    """Each message in three packets of its user's flow, the last two swapped, and the first sent twice; a user's
+    messages follow one another in one flow."""
     m = _messages(spark, d).join(spark.read.parquet(f"{d}/events.parquet").select("event_id", "user_id"), "event_id")
+    upto = Window.partitionBy("user_id").orderBy("event_id")
+    m = m.withColumn("base", F.coalesce(F.sum(F.length("message")).over(upto.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)) + 1000).withColumn("final", F.lead("event_id").over(upto).isNull())
     raw = F.col("message").cast("binary")
     n = F.length("message")
     cuts = [(0, 1, F.lit(20)), (1, 21, F.lit(30)), (2, 51, n - 50)]
@@ -732,29 +819,48 @@ def _packets(spark: SparkSession, d: str) -> DataFrame:
     again = F.struct(F.lit(1).alias("o"), F.lit(0).alias("at"), F.substring(raw, 1, 20).alias("payload"))
     x = m.withColumn("p", F.explode(F.array(*parts, again)))
     return x.select(
-        (F.col("event_id") * 4 + F.col("p.o")).alias("arrival_seq"), F.concat(F.lit("10.0.0."), (F.col("user_id") % 250).cast("string")).alias("src_ip"), (F.col("event_id") + 1000).cast("int").alias("src_port"),
-        F.lit("10.1.0.1").alias("dst_ip"), F.lit(5060).alias("dst_port"), (1000 + F.col("p.at")).cast("long").alias("sequence_number"), F.col("p.payload").alias("payload"),
-        F.timestamp_micros(F.unix_micros("ts") + F.col("p.o") * 1_000_000).alias("timestamp"), (F.col("p.o") == 3).alias("fin"), F.col("event_id").alias("source"),
+        (F.col("event_id") * 4 + F.col("p.o")).alias("arrival_seq"), F.concat(F.lit("10.0.0."), (F.col("user_id") % 250).cast("string")).alias("src_ip"), (F.col("user_id") + 1000).cast("int").alias("src_port"),
+        F.lit("10.1.0.1").alias("dst_ip"), F.lit(5060).alias("dst_port"), (F.col("base") + F.col("p.at")).cast("long").alias("sequence_number"), F.col("p.payload").alias("payload"),
+        F.timestamp_micros(F.unix_micros("ts") + F.col("p.o") * 1_000_000).alias("timestamp"), (F.col("final") & (F.col("p.o") == 3)).alias("fin"), F.col("event_id").alias("source"),
     )
 
 
-@query(f"SELECT '10.0.0.' || CAST(user_id % 250 AS VARCHAR) || '|' || CAST(event_id + 1000 AS VARCHAR) || '|10.1.0.1|5060' AS flow, ts AS observed_at, sha256({_MESSAGE}) AS message_sha256 FROM events")
+@query(f"SELECT '10.0.0.' || CAST(user_id % 250 AS VARCHAR) || '|' || CAST(user_id + 1000 AS VARCHAR) || '|10.1.0.1|5060' AS flow, ts AS observed_at, sha256({_MESSAGE}) AS message_sha256 FROM events")
 def sip_reassembly(spark, d):
     found = wire.messages(_packets(spark, d)).where("message is not null")
     return found.select("flow", ntz("observed_at").alias("observed_at"), F.sha2("message", 256).alias("message_sha256"))
 
 
-@query("SELECT '10.0.0.' || CAST(user_id % 250 AS VARCHAR) || '|' || CAST(event_id + 1000 AS VARCHAR) || '|10.1.0.1|5060' AS flow, 0 AS stranded_segments, 0 AS stranded_bytes, 1 AS dropped FROM events")
+@query("SELECT '10.0.0.' || CAST(user_id % 250 AS VARCHAR) || '|' || CAST(user_id + 1000 AS VARCHAR) || '|10.1.0.1|5060' AS flow, 0 AS stranded_segments, 0 AS stranded_bytes, CAST(count(*) AS INTEGER) AS dropped FROM events GROUP BY user_id")
 def parser_metrics(spark, d):
     found = wire.messages(_packets(spark, d)).where("message is null")
     return found.select("flow", *[F.col(c).cast("int").alias(c) for c in ("stranded_segments", "stranded_bytes", "dropped")])
 
 
-@query("SELECT '10.0.0.' || CAST(user_id % 250 AS VARCHAR) || '|' || CAST(event_id + 1000 AS VARCHAR) || '|10.1.0.1|5060' AS session, ts AS first_seen, ts + INTERVAL 3 SECOND AS last_seen, 4 AS packets, TRUE AS closed FROM events")
+@query("SELECT '10.0.0.' || CAST(user_id % 250 AS VARCHAR) || '|' || CAST(user_id + 1000 AS VARCHAR) || '|10.1.0.1|5060' AS session, min(ts) AS first_seen, max(ts) + INTERVAL 3 SECOND AS last_seen, CAST(4 * count(*) AS INTEGER) AS packets, TRUE AS closed FROM events GROUP BY user_id")
 def session_activity(spark, d):
     return wire.sessions(_packets(spark, d)).select("session", ntz("first_seen").alias("first_seen"), ntz("last_seen").alias("last_seen"), F.col("packets").cast("int").alias("packets"), "closed")
 
 
+@query(f"""WITH u AS (SELECT user_id, '10.0.0.' || CAST(user_id % 250 AS VARCHAR) || '|' || CAST(user_id + 1000 AS VARCHAR) || '|10.1.0.1|5060' AS flow, count(*) AS n, count(*) FILTER (event_id % 4 = 0) AS bad, sum(length({_MESSAGE})) AS bytes FROM events GROUP BY user_id)
+SELECT hook, count(*) AS calls, CAST(sum(n) AS BIGINT) AS total FROM (
+    SELECT 'session_start' AS hook, 4 * n AS n FROM u UNION ALL SELECT 'session_end', 4 * n FROM u UNION ALL SELECT 'packet_dropped', n FROM u
+    UNION ALL SELECT 'message_reconstructed', length({_MESSAGE}) FROM events UNION ALL SELECT 'parse_error', 1 FROM events WHERE event_id % 4 = 0 UNION ALL SELECT 'event_emitted', 1 FROM events WHERE event_id % 4 <> 0) GROUP BY hook""")
+def parser_lifecycle(spark, d):
+    """The calls that an observer of the parser gets, by hook."""
+    packets = _packets(spark, d)
+    found = wire.messages(packets)
+    parsed = sip.registrations(sip.parse(found.where("message is not null")), F.lit("store-0042"), F.col("observed_at"))
+    return wire.lifecycle(packets, found, parsed).groupBy("hook").agg(F.count("*").alias("calls"), F.sum("count").alias("total"))
+
+
+@query(f"WITH q AS (SELECT *, {_SIP_DEVICE} AS dev FROM events) SELECT event_id AS source_event, 'given-' || CAST(event_id AS VARCHAR) AS event_id FROM q WHERE event_id % 4 <> 0")
+def event_id_override(spark, d):
+    parsed = sip.parse(_messages(spark, d).withColumnRenamed("event_id", "source_event"))
+    rows = sip.registrations(parsed, F.lit("store-0042"), F.col("ts")).where("reason is null")
+    return wire.with_event_ids(rows, F.concat(F.lit("given-"), F.col("source_event").cast("string")), preserve=False).select("source_event", "event_id")
+
+
 @query("SELECT event_id, CASE WHEN event_id % 3 = 0 THEN CAST(user_id AS INTEGER) ELSE 0 END AS retries FROM events")
 def retry_count(spark, d):
     i = F.col("event_id")

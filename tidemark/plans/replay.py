@@ -17,11 +17,35 @@ from tidemark.settings import Settings
 from tidemark.sources import events as sources
 
 
-def fleet_pipeline(settings: Settings, registrations: DataFrame) -> Pipeline:
-    """The default composition: keyed by store, offline devices found by following every event."""
+def fleet_pipeline(settings: Settings, registrations: DataFrame, shard: str | None = "store_id") -> Pipeline:
+    """The default composition: keyed by store, offline devices found by following every event of a shard.
+
+    A shard is a store, so that a fleet is spread over tasks and a store's silence shows at its own next event.
+    Another column makes other shards; None makes the whole fleet one, which one task then follows.
+    """
     threshold = settings.offline_threshold_seconds
-    one = lambda df: df.withColumn("shard", F.lit("0"))
-    return Pipeline(settings, F.col("store_id")).register_event_detector("offline", lambda e: detectors.offline_general(one(e), one(registrations), threshold))
+    named = lambda df: df.withColumn("shard", F.lit("0") if shard is None else F.col(shard).cast("string"))
+    return Pipeline(settings, F.col("store_id")).register_event_detector("offline", lambda e: detectors.offline_general(named(e), named(registrations), threshold))
+
+
+def summary(result: Result) -> DataFrame:
+    """One row of a run's counters: events by class, emissions, detections, alerts, features, handlers that ran or failed."""
+    rows = [*result.emissions.values()]
+    none = result.classified.sparkSession.createDataFrame([], "x int").agg(F.count("*").alias("n"))
+    counted = {
+        "emissions": [r.agg(F.count("*").alias("n")) for r in rows],
+        **{k: [r.agg(F.count("*").alias("n"))] if r is not None else [] for k, r in (("detections", result.detections), ("alerts", result.alerts), ("features", result.features))},
+        "handlers_invoked": [result.dispatched.agg(F.coalesce(F.sum("handlers_invoked"), F.lit(0)).alias("n"))] if result.dispatched is not None else [],
+        "handler_failures": [result.dispatched.agg(F.coalesce(F.sum("handler_failures"), F.lit(0)).alias("n"))] if result.dispatched is not None else [],
+    }
+    counts = None
+    for name, parts in counted.items():
+        for part in parts or [none]:
+            one = part.select(F.lit(name).alias("name"), F.col("n").cast("long").alias("n"))
+            counts = one if counts is None else counts.unionByName(one)
+    of_events = result.summary.select(F.explode(F.array(*[F.struct(F.lit(c).alias("name"), F.col(c).cast("long").alias("n")) for c in result.summary.columns])).alias("s")).select("s.*")
+    names = [*result.summary.columns, *counted]
+    return counts.unionByName(of_events).agg(*[F.sum(F.when(F.col("name") == k, F.col("n"))).alias(k) for k in names])
 
 
 def run_replay(settings: Settings, events: DataFrame, build: Callable[[Settings], Pipeline]) -> tuple[Result, dict]:
@@ -30,7 +54,7 @@ def run_replay(settings: Settings, events: DataFrame, build: Callable[[Settings]
     pipeline = build(own)
     result = pipeline.run(events)
     pipeline.write(result, own.dataset_root)
-    return result, {"environment": own.environment, **result.summary.first().asDict()}
+    return result, {"environment": own.environment, **summary(result).first().asDict()}
 
 
 def window(start: Column, end: Column) -> Column:
@@ -56,7 +80,7 @@ def main(argv: list[str]) -> int:
     pipeline = fleet_pipeline(own.for_replay(), facts.select("arrival_seq", "device_id", "store_id"))
     result = pipeline.run(rows)
     pipeline.write(result, config.get("output"))
-    print(result.summary.first().asDict())
+    print(summary(result).first().asDict())
     return 0
 
 
