@@ -233,7 +233,6 @@ def test_sip_event(spark):
 
 
 def test_datasets(spark, tmp_path):
-    spark.conf.set("spark.sql.sources.partitionColumnTypeInference.enabled", "false")
     e = device_events(spark, [(0, "A", "store-1"), (350, "B", "store-2"), (4000, "A", "store-1")])
     found = detectors.offline_in_order(e, 300)
     datasets.write_detections(found, str(tmp_path))
@@ -282,11 +281,13 @@ def test_pipeline_and_replay(spark, tmp_path):
 def test_settings():
     s = Settings.from_env({"TIDEMARK_REALTIME_WINDOW_SECONDS": "9", "TIDEMARK_ALERT_BUS": "", "TIDEMARK_DATASET_ROOT": "live-1"})
     assert (s.realtime_window_seconds, s.alert_bus, s.for_replay().dataset_root) == (9, None, None)
-    for bad in ({"realtime_window_seconds": 0}, {"outage_threshold_ratio": 1.5}, {"late_event_tolerance_seconds": -1}, {"service_name": ""}, {"dataset_root": "A"}):
+    for bad in ({"realtime_window_seconds": 0}, {"outage_threshold_ratio": 1.5}, {"late_event_tolerance_seconds": -1}, {"service_name": ""}, {"dataset_root": ""}, {"replay_alert_bus": " bus"}):
         with pytest.raises(ValueError):
             Settings(**bad)
     with pytest.raises(ValueError):
         Settings.from_env({"TIDEMARK_DATA_RETENTION_DAYS": "x"})
+    for root in ("/data/out", "s3a://bucket/a/b", "hdfs://host:9000/x"):
+        assert Settings(dataset_root=root).dataset_root == root
 
 
 def test_queries_and_sql_agree_in_name():

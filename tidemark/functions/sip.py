@@ -12,8 +12,8 @@ from tidemark.operators.validation import ip_address
 
 def text_of(message: Column) -> Column:
     """A message's bytes as text; bytes that are no UTF-8 are left out."""
-    shown = F.decode(message.cast("binary"), "UTF-8")
-    return F.when(F.is_valid_utf8(message.cast("string")), message.cast("string")).otherwise(F.translate(shown, "\ufffd", ""))
+    text = message.cast("string")
+    return F.when(F.is_valid_utf8(text), text).otherwise(F.translate(F.make_valid_utf8(text), "\ufffd", ""))
 
 
 def request_tokens(message: Column) -> Column:

@@ -164,6 +164,9 @@ class BufferedDatasets:
         taken = plan if marks is None else plan.join(marks, ["store_id", "hour"], "left_semi")
         left = plan if marks is None else plan.join(marks, ["store_id", "hour"], "left_anti")
         left.write.mode("overwrite").parquet(self._waiting(batch))
+        if batch > 1:  # a batch that is repeated reads the one before it, and no older one
+            place = self.spark._jvm.org.apache.hadoop.fs.Path(self._waiting(batch - 2))
+            place.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(place, True)
         if marks is not None:
             place = F.row_number().over(Window.partitionBy("kind", "store_id", "hour").orderBy("arrival_seq", "record")) - 1
             done = taken.withColumn("place", place).withColumn("batch", F.lit(batch))
