@@ -421,8 +421,10 @@ def _shared(df: DataFrame, path: str) -> str:
 
 
 def encode(docs: DataFrame, path: str, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, ids array<int>) for every row; a null or empty text has no ids. Texts are encoded whole, without
-    special tokens: their strings are ordinary text. Repeated rows are answered each; other columns are not read."""
+    """(doc_id, ids array<int>) for every row; a null or empty text has no ids, an empty table no results. Texts are
+    encoded whole, without special tokens: their strings are ordinary text. Long texts are encoded by slices of their
+    pieces; a single piece of many bytes has a tree of its own, of about 100 bytes a byte. Repeated rows are answered
+    each; other columns are not read."""
     name = _shared(docs, path)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

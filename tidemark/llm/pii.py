@@ -149,8 +149,8 @@ _SPAN_TYPE = pa.list_(
 
 
 def detect(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
-    """(doc_id, spans) for every row; a null or empty text has no spans. Repeated rows are answered each;
-    other columns are not read. Texts are scanned whole, one pass for each kind, in linear time."""
+    """(doc_id, spans) for every row; a null or empty text has no spans, an empty table no results. Repeated rows are
+    answered each; other columns are not read. Texts are scanned whole, one pass for each kind, in linear time."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -161,7 +161,8 @@ def detect(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", t
 
 
 def redacted(docs: DataFrame, *, text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
-    """docs with every span of text_col replaced by its kind; all other columns as they are, null stays null."""
+    """docs with every span of text_col replaced by its kind; all other columns as they are, null stays null, and repeated
+    rows and an empty table stay as many rows."""
     at = docs.columns.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
