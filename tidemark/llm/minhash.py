@@ -11,7 +11,7 @@ compared by 16 bits each, and it goes if more differ than in any but one of 20,0
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -263,12 +263,12 @@ class _Links:
         least = F.greatest(F.col("least"), F.ceil(F.col("n") * p / 100))
         self.live = self._shared(written(counted.where((100 + p) * F.col("most") >= p * (F.col("n") + least))))
 
-    def _tables(self, tables: list[tuple[int, int]]) -> tuple[Column, Column]:
+    def _tables(self, tables: list[tuple[int, int]]) -> tuple[Column, Callable[[Column], Column]]:
         """(the numbers of those tables that a live class may meet another component in, the bucket in table t)."""
         numbers = F.array(*[F.lit(i * self.halves + j) for i, j in tables])
-        on = F.filter(numbers, lambda t: (F.getbit("mask", F.floor(t / self.halves).cast("int")) > 0) & (F.getbit("mask", self.halves + t % self.halves) > 0))
-        one, two = F.floor(F.col("t") / self.halves).cast("int"), self.halves + F.col("t") % self.halves
-        return on, F.xxhash64("t", F.col("keys")[one], F.col("keys")[two])
+        one, two = lambda t: F.floor(t / self.halves).cast("int"), lambda t: self.halves + t % self.halves
+        on = F.filter(numbers, lambda t: (F.getbit("mask", one(t)) > 0) & (F.getbit("mask", two(t)) > 0))
+        return on, lambda t: F.xxhash64(t, F.col("keys")[one(t)], F.col("keys")[two(t)])
 
     def stars(self, tables: list[tuple[int, int]], heads: tuple[int, ...]) -> None:
         """Tries tables in rounds: a bucket that spans several components holds all its classes against about so many of them.
@@ -277,7 +277,7 @@ class _Links:
         tested in the first table that it meets in, when the class that comes first is a head.
         """
         on, bucket = self._tables(tables)
-        slim = self._named(self.live.select("id", "keys", F.explode(on).alias("t"))).select(bucket.alias("bucket"), "t", "id", "c")
+        slim = self._named(self.live.select("id", "keys", F.explode(on).alias("t"))).select(bucket(F.col("t")).alias("bucket"), "t", "id", "c")
         held = slim.groupBy("bucket").agg(F.min("c").alias("lo"), F.max("c").alias("hi"), F.count("*").alias("m")).where("lo < hi").select("bucket", "m")
         members = written(slim.join(held, "bucket").select("bucket", "t", "id", "m"))
         for low, high in zip((0, *heads), heads, strict=False):
@@ -300,10 +300,12 @@ class _Links:
         top = firsts.groupBy("k", "key", "c").agg(F.count("*").alias("m")).groupBy("k", "key").agg(F.max(F.struct("m", "c")).alias("top"))
         heads = firsts.join(top.select("k", "key", F.col("top.c").alias("top")), ["k", "key"]).where("c != top").select("id", F.lit(True).alias("head")).distinct()
         rows = self._named(self.live.join(heads, "id", "left")).withColumn("u", _place(F.col("id"))).withColumn("head", F.coalesce("head", F.lit(False)))
-        rows = written(rows)
+        # every class becomes a row for each of its tables, so classes are dealt evenly first
+        rows = written(rows).hint("rebalance")
         on, bucket = self._tables(tables)
-        spread = lambda df: df.withColumn("t", F.explode(on)).withColumn("bucket", bucket)
-        self._decide(self._met(spread(rows.where("head")), spread(rows), tables))
+        left = rows.where("head").withColumn("t", F.explode(on)).withColumn("bucket", bucket(F.col("t")))
+        right = rows.withColumn("bucket", F.explode(F.transform(on, bucket)))
+        self._decide(self._met(left, right, tables))
 
     def _open(self, members: DataFrame) -> DataFrame:
         """The members of buckets that still span several components."""
