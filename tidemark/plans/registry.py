@@ -636,10 +636,10 @@ def outage_reads(spark, d):
     return views.is_in_outage(stores_, down).withColumn("active_outages", F.lit(n).cast("long"))
 
 
-_ENTRIES = "SELECT 'offline_count' AS view, 'store-' || CAST(user_id % 10 AS VARCHAR) AS key, event_id AS at, CASE WHEN event_id % 7 <> 0 THEN CAST(user_id AS VARCHAR) END AS value FROM events"
+_ENTRIES = "SELECT 'offline_count' AS view, 'store-' || CAST(user_id % 10 AS VARCHAR) AS key, event_id AS n, CASE WHEN event_id % 7 <> 0 THEN CAST(user_id AS VARCHAR) END AS value FROM events"
 
 
-@query(f"WITH x AS ({_ENTRIES}), l AS (SELECT *, row_number() OVER (PARTITION BY view, key ORDER BY at % 3 DESC, at DESC) AS r FROM x) SELECT view, key, value FROM l WHERE r = 1 AND value IS NOT NULL")
+@query(f"WITH x AS ({_ENTRIES}), l AS (SELECT *, row_number() OVER (PARTITION BY view, key ORDER BY n % 3 DESC, n DESC) AS r FROM x) SELECT view, key, value FROM l WHERE r = 1 AND value IS NOT NULL")
 def projection_store(spark, d):
     """What a table of entries holds after three writes, the last two by a store opened anew: the last value of a key, or nothing."""
     root = _scratch(spark)
