@@ -153,6 +153,33 @@ def test_anomaly_rate(spark):
     assert r.anomalies == 2
 
 
+def test_anomaly_rate_of_asked_signals(spark):
+    rows = [(f"d{k}", "signal.anomaly", sec(s), f'{{"signal_name":"{n}"}}') for k, (s, n) in enumerate([(10, "latency"), (70, "latency"), (10, "errors")])]
+    df = spark.createDataFrame(rows, "detection_id string, detection_type string, detected_at timestamp, details string")
+    asked = spark.createDataFrame([("latency",), ("load",), ("load",)], "signal_name string")
+    read = lambda d, at: sorted(tuple(r) for r in views.count_in_window(views.anomaly_buckets(d), F.lit(sec(at)), 300, asked).collect())
+    assert read(df, 300) == [("latency", 2, 0.4), ("load", 0, 0.0)]
+    assert read(df, 3600) == read(df.limit(0), 300) == [("latency", 0, 0.0), ("load", 0, 0.0)]
+
+
+def test_anomaly_rate_asof_has_a_row_without_anomalies(spark, tmp_path):
+    duckdb = pytest.importorskip("duckdb")
+    entry = pytest.importorskip("__spark_entry__")
+    asof, sql = entry.queries()["anomaly_rate_asof"], entry.oracle_sql()["anomaly_rate_asof"]
+    # five events of a type in an hour are an anomaly at its end, which the event a day later closes; the id fixes the arrival
+    day = dt.datetime(2024, 1, 10)
+    hour = lambda h: [(k, day + dt.timedelta(hours=h, seconds=k), k, "view", 1.0) for k in range(5)]
+    last = [(9, day + dt.timedelta(days=1), 1, "view", 1.0)]
+    for name, rows, n in (("inside", hour(3) + last, 1), ("before", hour(-30) + last, 0), ("after", hour(20) + last, 0), ("none", [], 0)):
+        path = str(tmp_path / name)
+        data = spark.createDataFrame(rows, "event_id long, ts timestamp_ntz, user_id long, event_type string, value double")
+        data.write.parquet(f"{path}/events.parquet")
+        with duckdb.connect() as c:
+            c.execute(f"CREATE VIEW events AS SELECT * FROM read_parquet('{path}/events.parquet/*.parquet')")
+            want = c.execute(sql).fetchall()
+        assert [tuple(r) for r in asof(spark, path).collect()] == want == [("events", n, n / 1440)]
+
+
 def test_table_store(spark, tmp_path):
     s = stores.TableStore(spark, str(tmp_path / "views"))
     s.put("anomaly_rate", "latency|2026-01-01T00:00:00+00:00", "[]")

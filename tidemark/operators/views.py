@@ -54,11 +54,19 @@ def anomaly_buckets(detections: DataFrame) -> DataFrame:
     return own.groupBy("signal_name", F.window("detected_at", f"{BUCKET} seconds").start.alias("bucket")).agg(F.array_sort(F.collect_set("detection_id")).alias("detection_ids"))
 
 
-def count_in_window(buckets: DataFrame, as_of: Column, window_seconds: int = 300) -> DataFrame:
-    """(signal_name, anomalies, rate_per_minute) in the buckets from that of as_of - window on and before as_of."""
+def count_in_window(buckets: DataFrame, as_of: Column, window_seconds: int = 300, signals: DataFrame | None = None) -> DataFrame:
+    """(signal_name, anomalies, rate_per_minute) in the buckets from that of as_of - window on and before as_of.
+
+    signals (signal_name), if given, are those asked for: each has a row, also with no anomalies. Without, only signals
+    with anomalies in the window have one.
+    """
     low = F.timestamp_seconds(F.floor(F.unix_micros(as_of - seconds(window_seconds)) / (BUCKET * 1_000_000)) * BUCKET)
     seen = buckets.where((F.col("bucket") >= low) & (F.col("bucket") < as_of))
-    return seen.groupBy("signal_name").agg(F.sum(F.size("detection_ids")).alias("anomalies")).withColumn("rate_per_minute", F.col("anomalies") / (window_seconds / 60.0))
+    counts = seen.groupBy("signal_name").agg(F.sum(F.size("detection_ids")).alias("anomalies"))
+    if signals is not None:
+        asked = signals.select("signal_name").distinct()
+        counts = asked.join(counts, "signal_name", "left").withColumn("anomalies", F.coalesce("anomalies", F.lit(0).cast("long")))
+    return counts.withColumn("rate_per_minute", F.col("anomalies") / (window_seconds / 60.0))
 
 
 def as_entries(detections: DataFrame) -> DataFrame:
